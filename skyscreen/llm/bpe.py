@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import spread, text_chunks
+from .hashing import IntTable
 
 _NONE = np.int32(1 << 30)
 #: Pieces of more bytes are merged one by one with a heap, in the same order.
@@ -44,7 +45,7 @@ def _latin(pattern: str) -> str:
 
 
 class PairTable:
-    """Open-addressing hash table from (left id, right id) to the merged id, probed for whole arrays at once."""
+    """The merged id of (left id, right id): every cut of a token into two tokens is an entry."""
 
     def __init__(self, ranks: dict[bytes, int]):
         keys, values = [], []
@@ -54,31 +55,10 @@ class PairTable:
                 if left is not None and right is not None:
                     keys.append(left << 32 | right)
                     values.append(rank)
-        self.bits = max(4, (2 * len(keys)).bit_length())
-        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, _NONE, np.int32)
-        rest_k, rest_v = np.array(keys, np.int64), np.array(values, np.int32)
-        at = self._slot(rest_k)
-        while len(rest_k):
-            free = self.keys[at] == -1
-            self.keys[at[free]], self.values[at[free]] = rest_k[free], rest_v[free]
-            lost = self.keys[at] != rest_k  # the slot went to another key: the next one
-            rest_k, rest_v, at = rest_k[lost], rest_v[lost], (at[lost] + 1) & ((1 << self.bits) - 1)
-
-    def _slot(self, key: np.ndarray) -> np.ndarray:
-        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        self.table = IntTable(np.array(keys, np.int64), np.array(values, np.int32), _NONE)
 
     def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = left.astype(np.int64) << 32 | right
-        at = self._slot(key)
-        found, out = self.keys[at], self.values[at]
-        miss = np.flatnonzero((found != key) & (found != -1))
-        while len(miss):
-            at[miss] = (at[miss] + 1) & ((1 << self.bits) - 1)
-            k = self.keys[at[miss]]
-            out[miss] = self.values[at[miss]]
-            miss = miss[(k != key[miss]) & (k != -1)]
-        out[self.keys[at] != key] = _NONE
-        return out
+        return self.table.get(left.astype(np.int64) << 32 | right)
 
 
 class Bpe:

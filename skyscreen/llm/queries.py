@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language_id, mixing, quality_model, quality_rules
+from . import bpe, exact_dedup, language_id, minhash, mixing, ppm, quality_model, quality_rules
 from .common import table
 
 
@@ -18,10 +18,18 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,5 +42,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_mix, op6_quality_model, op8_quality_rules, op9_exact_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op3_mix, op5_ppm, op6_quality_model, op7_minhash, op8_quality_rules, op9_exact_dedup, op10_language_id)}
 ORACLE = {"op3_mix": mixing.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
