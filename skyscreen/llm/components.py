@@ -13,9 +13,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     if large:
         both = down.unionByName(down.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-least")  # stored, so that the join can split a hot node
         return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(down.groupBy("a").agg(F.min("b").alias("m")), "cc-least")
     handed = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return handed.unionByName(least.select("a", F.col("m").alias("b")))
 

@@ -234,6 +234,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     classes = stored(classes, "minhash-classes")
     placed = classes.select("digest", "rep", "n", F.explode("bands").alias("bucket"))
     heads = placed.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("n").alias("weight"), F.min(F.struct("rep", "digest")).alias("head")).where("members > 1")
+    heads = stored(heads, "minhash-heads")  # here and below: stored, so that the join can split a hot key
     buckets = stored(placed.join(heads, "bucket").select("bucket", "digest", "rep", "members", "weight", F.col("head.digest").alias("head")), "minhash-buckets")
     # stars: every member against the first of its bucket
     pairs = buckets.where("digest <> head").select(F.col("digest").alias("a"), F.col("head").alias("b")).distinct()
@@ -253,6 +254,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     members = stored(members.select("bucket", "digest", "members", "weight", "label"), "minhash-members")
     same = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("who"), F.max("members").alias("members"))
     open_ = same.where("lo <> hi").groupBy("members", "who").agg(F.min("bucket").alias("bucket")).select("bucket")  # equal buckets once
+    open_ = stored(open_, "minhash-open")
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
     dealt = members.join(open_, "bucket", "left_semi").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
@@ -262,6 +264,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     top = least.groupBy("label").agg(F.min("rep").alias("component"))
     joined = least.join(top, "label").select(F.col("node").alias("digest"), "component")
     whole = classes.select("digest", "rep").join(joined, "digest", "left").select("digest", F.coalesce("component", "rep").alias("component"))
+    whole = stored(whole, "minhash-components")
     whole = sigs.select("doc_id", "n_shingles", "digest").join(whole, "digest", "left")
     component = F.when(F.col("component") == _LAST, F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     return whole.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language_id, minhash, mixing, ppm, quality_model, quality_rules
+from . import bpe, exact_dedup, language_id, line_dedup, minhash, mixing, ppm, quality_model, quality_rules, warc
 from .common import table
 
 
@@ -14,10 +14,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
 def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_documents(table(spark, sf_dir, "documents"))
 
@@ -42,5 +50,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_mix, op5_ppm, op6_quality_model, op7_minhash, op8_quality_rules, op9_exact_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_dedup, op3_mix, op4_warc, op5_ppm, op6_quality_model, op7_minhash, op8_quality_rules, op9_exact_dedup, op10_language_id)}
 ORACLE = {"op3_mix": mixing.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
