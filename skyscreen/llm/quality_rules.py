@@ -158,11 +158,15 @@ def base_failed() -> Column:
 def fit(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> list[list[Condition]]:
     """Learn a list from the rows of ``stats`` that ``labels`` marks, those apart whose crc32(doc_id) mod 3 is 1.
 
-    The driver gets at most ``max_train`` rows of statistics, those with the smallest hashed ids. Without labels of both
+    The driver gets about ``max_train`` rows of statistics at most, those with the smallest hashed ids. Without labels of both
     classes the list is empty.
     """
     marked = labels.where("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    sample = stats.where(~base_failed() & (crc_mod("doc_id", 3) != 1)).join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train).select("quality", *FEATURES).toPandas()
+    sample = stats.where(~base_failed() & (crc_mod("doc_id", 3) != 1)).join(marked, "doc_id")
+    order = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    if (n := sample.count()) > max_train:
+        sample = sample.where(order < int((1 << 20) * max_train / n))
+    sample = sample.select("quality", *FEATURES, order.alias("at"), "doc_id").toPandas().sort_values(["at", "doc_id"], ignore_index=True)
     bad = (sample["quality"] == 0).to_numpy()
     return learn(sample[list(FEATURES)], bad) if bad.any() and not bad.all() else []
 
