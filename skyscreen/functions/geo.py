@@ -35,6 +35,14 @@ _BETA = (
     _poly((4583, 161280, 5), (-108847, 3991680, 6)),
     _poly((20648693, 638668800, 6)),
 )
+_DELTA = (  # geodetic from conformal latitude
+    _poly((2, 1, 1), (-2, 3, 2), (-2, 1, 3), (116, 45, 4), (26, 45, 5), (-2854, 675, 6)),
+    _poly((7, 3, 2), (-8, 5, 3), (-227, 45, 4), (2704, 315, 5), (2323, 945, 6)),
+    _poly((56, 15, 3), (-136, 35, 4), (-1262, 105, 5), (73814, 2835, 6)),
+    _poly((4279, 630, 4), (-332, 35, 5), (-399572, 14175, 6)),
+    _poly((4174, 315, 5), (-144838, 6237, 6)),
+    _poly((601676, 22275, 6)),
+)
 
 
 def usable(lat: Column, lon: Column) -> Column:
@@ -81,42 +89,19 @@ def utm_forward(lon: Column, lat: Column, epsg: Column) -> tuple[Column, Column]
     return F.lit(_E0) + F.lit(_K0 * _RECT) * east, north0 + F.lit(_K0 * _RECT) * north
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once: a lambda's argument, so that the expression doesn't grow with its uses."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def utm_inverse(east: Column, north: Column, epsg: Column) -> tuple[Column, Column]:
-    """(longitude, latitude) in degrees."""
+    """(longitude, latitude) in degrees; the series hold within some degrees of the zone."""
     lon0, north0 = _zone_of(epsg)
-    start = F.struct(((north - north0) / F.lit(_K0 * _RECT)).alias("xi"), ((east - F.lit(_E0)) / F.lit(_K0 * _RECT)).alias("eta"))
-
-    def unroll(p: Column) -> Column:
-        x, e = p["xi"], p["eta"]
-        for j, b in enumerate(_BETA, 1):
-            x = x - F.lit(b) * F.sin(2 * j * p["xi"]) * F.cosh(2 * j * p["eta"])
-            e = e - F.lit(b) * F.cos(2 * j * p["xi"]) * F.sinh(2 * j * p["eta"])
-        return F.struct(x.alias("x"), e.alias("e"))
-
-    def newton(tau: Column, goal: Column) -> Column:
-        """One step for the tangent of the latitude."""
-
-        def step(root: Column) -> Column:
-            def move(sigma: Column) -> Column:
-                now = tau * F.sqrt(1 + sigma * sigma) - sigma * root
-                slope = (1 + (1 - _ECC**2) * tau * tau) / (F.lit(1 - _ECC**2) * root)
-                return _let(now, lambda v: tau + (goal - v) / F.sqrt(1 + v * v) * slope)
-
-            return _let(F.sinh(F.lit(_ECC) * F.atanh(F.lit(_ECC) * tau / root)), move)
-
-        return _let(F.sqrt(1 + tau * tau), step)
-
-    def latitude(q: Column) -> Column:
-        goal = F.sin(q["x"]) / F.sqrt(F.sinh(q["e"]) * F.sinh(q["e"]) + F.cos(q["x"]) * F.cos(q["x"]))
-        return _let(goal, lambda g: _let(newton(g, g), lambda t: _let(newton(t, g), lambda u: newton(u, g))))
-
-    flat = _let(start, unroll)
-    return lon0 + F.degrees(_let(flat, lambda q: F.atan2(F.sinh(q["e"]), F.cos(q["x"])))), F.degrees(F.atan(_let(flat, latitude)))
+    xi, eta = (north - north0) / F.lit(_K0 * _RECT), (east - F.lit(_E0)) / F.lit(_K0 * _RECT)
+    x, e = xi, eta
+    for j, b in enumerate(_BETA, 1):
+        x = x - F.lit(b) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        e = e - F.lit(b) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    conformal = F.asin(F.sin(x) / F.cosh(e))
+    latitude = conformal
+    for j, d in enumerate(_DELTA, 1):
+        latitude = latitude + F.lit(d) * F.sin(2 * j * conformal)
+    return lon0 + F.degrees(F.atan2(F.sinh(e), F.cos(x))), F.degrees(latitude)
 
 
 def tile_id(epsg: Column, east: Column, north: Column, size_m: float) -> Column:

