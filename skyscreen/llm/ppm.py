@@ -30,7 +30,7 @@ ORDER = 5
 _END = b"\n"
 _PAD = _END * ORDER
 #: Bytes of text that a block aims at, and positions that are worked on at once.
-BLOCK_BYTES, _STEP = 16 << 20, 1 << 20
+BLOCK_BYTES, _STEP = 8 << 20, 1 << 19
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -258,6 +258,8 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str
                     distinct, n = np.unique(part, return_counts=True)
                     codes.append(distinct)
                     counts.append(n * known)
+            if sum(map(len, codes)) > 1 << 20:  # what is held stays near the distinct strings of the block
+                codes, counts = ([x] for x in add_up(codes, counts))
             for w, h in zip(words, held[start:].tolist(), strict=False):
                 if not h:
                     seen.update(w)
