@@ -10,8 +10,8 @@ from skyscreen.llm.common import stored, table
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids``, null ids included."""
-    return docs.join(ids.select(F.col("doc_id").alias("_kept_id")), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """Rows of ``docs`` whose id is in ``ids``, null ids included; by the same plan at every size."""
+    return docs.join(ids.select(F.col("doc_id").alias("_kept_id")).hint("merge"), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: a row for every epoch."""
     taken = mixing.mix(docs).where("taken > 0").select(F.col("doc_id").alias("_mix_id"), (F.col("taken") / F.col("size")).cast("int").alias("_mix_times"))
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_mix_id")))
+    joined = docs.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_mix_id")))
     return joined.withColumn("_mix_epoch", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*docs.columns)
 
 
