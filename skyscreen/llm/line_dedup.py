@@ -92,7 +92,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     runs = stored(runs.select(F.col("doc_id").alias("_ld_id"), F.col("version").alias("_ld_version"), F.col("runs").alias("_ld_runs")), "line-runs")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     at = F.col(id_col).cast("long").eqNullSafe(F.col("_ld_id")) & (F.xxhash64(text) == F.col("_ld_version"))
-    d = docs.join(runs, at, "left").withColumn("_ld_lines", F.split(text, "\n"))
+    joined = docs.join(runs.hint("merge"), at, "left")  # the same plan at every size
+    d = joined.withColumn("_ld_lines", F.split(text, "\n"))
     worded = F.filter(F.transform("_ld_lines", lambda x, i: F.when(F.regexp_count(x, F.lit(WORD)) > 0, i)), lambda i: i.isNotNull())
     gone = F.array_distinct(F.flatten(F.transform("_ld_runs", lambda r: F.sequence(r["from"], r["to"]))))
     d = d.withColumn("_ld_worded", worded).withColumn("_ld_gone", F.when(F.col("_ld_runs").isNotNull(), gone))
