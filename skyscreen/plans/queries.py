@@ -344,11 +344,10 @@ def clear_spots(x: Fixtures) -> DataFrame:
     return horizon.find_spots(sites, _packed(x, surface), _RAYS, buffer_m=20.0, grid_m=10.0).select("location_id", "rank", "dx", "dy", "dish_height_m", "obstruction_pct", "improvement_pct", "n_candidates")
 
 
-@query("""SELECT location_id, a.range * 10.0::DOUBLE - 20.0 AS dx, b.range * 10.0::DOUBLE - 20.0 AS dy, h.h::DOUBLE AS dish_height_m FROM (SELECT DISTINCT location_id FROM findings WHERE coord_id < 50) f, range(0, 5) a, range(0, 5) b, (SELECT unnest([0.0, 0.3, 0.6]) AS h) h
+@query("""SELECT location_id, a.range * 10.0::DOUBLE - 20.0 AS dx, b.range * 10.0::DOUBLE - 20.0 AS dy, h.h::DOUBLE AS dish_height_m FROM findings f, range(0, 5) a, range(0, 5) b, (SELECT unnest([0.0, 0.3, 0.6]) AS h) h
 WHERE (a.range * 10.0 - 20.0) * (a.range * 10.0 - 20.0) + (b.range * 10.0 - 20.0) * (b.range * 10.0 - 20.0) <= 400""", "findings")
 def clear_spot_candidates(x: Fixtures) -> DataFrame:
-    sites = x.findings.where("coord_id < 50").select("location_id")
-    return horizon.candidates(sites, 20.0, 10.0).select("location_id", "dx", "dy", "dish_height_m")
+    return horizon.candidates(x.findings.select("location_id"), 20.0, 10.0).select("location_id", "dx", "dy", "dish_height_m")
 
 
 @query("""SELECT location_id, ord, dish_height_m, obstruction_pct FROM (SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY CASE WHEN has THEN coalesce(dish_height_m, 'infinity'::DOUBLE) ELSE 0 END, ord) AS k
