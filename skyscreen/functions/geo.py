@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _A, _FLAT, _K0, _E0 = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0
 _N = _FLAT / (2 - _FLAT)
+#: Systems in degrees; their datums differ by less than two metres.
+DEGREES = (4326, 4269)
 _ECC = math.sqrt(_FLAT * (2 - _FLAT))
 _RECT = _A / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64 + _N**6 / 256)
 
@@ -104,6 +107,38 @@ def utm_inverse(east: Column, north: Column, epsg: Column) -> tuple[Column, Colu
     return lon0 + F.degrees(F.atan2(F.sinh(e), F.cos(x))), F.degrees(latitude)
 
 
+def project(lon: np.ndarray, lat: np.ndarray, epsg: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`utm_forward` on arrays, for kernels that run on the executors."""
+    zone, north0 = (epsg - 32700, 1e7) if epsg >= 32700 else (epsg - 32600, 0.0)
+    phi, lam = np.radians(lat), np.radians(lon - (zone * 6 - 183))
+    s = np.sin(phi)
+    t = np.sinh(np.arctanh(s) - _ECC * np.arctanh(_ECC * s))
+    z = np.arctan2(t, np.cos(lam)) + 1j * np.arcsinh(np.sin(lam) / np.hypot(t, np.cos(lam)))
+    z = z + sum(a * np.sin(2 * j * z) for j, a in enumerate(_ALPHA, 1))
+    return _E0 + _K0 * _RECT * z.imag, north0 + _K0 * _RECT * z.real
+
+
+def unproject(east: np.ndarray, north: np.ndarray, epsg: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`utm_inverse` on arrays."""
+    zone, north0 = (epsg - 32700, 1e7) if epsg >= 32700 else (epsg - 32600, 0.0)
+    z = (np.asarray(north) - north0 + 1j * (np.asarray(east) - _E0)) / (_K0 * _RECT)
+    z = z - sum(b * np.sin(2 * j * z) for j, b in enumerate(_BETA, 1))
+    chi = np.arcsin(np.sin(z.real) / np.cosh(z.imag))
+    lat = chi + sum(d * np.sin(2 * j * chi) for j, d in enumerate(_DELTA, 1))
+    return zone * 6 - 183 + np.degrees(np.arctan2(np.sinh(z.imag), np.cos(z.real))), np.degrees(lat)
+
+
+def reproject(x: np.ndarray, y: np.ndarray, source: int, target: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of one system in another: UTM zones, or degrees (4326, 4269)."""
+    if source == target:
+        return x, y
+    for code in (source, target):
+        if code not in DEGREES and not (32601 <= code <= 32660 or 32701 <= code <= 32760):
+            raise ValueError(f"EPSG:{code} is neither a UTM zone nor degrees")
+    lon, lat = (x, y) if source in DEGREES else unproject(x, y, source)
+    return (lon, lat) if target in DEGREES else project(lon, lat, target)
+
+
 def tile_id(epsg: Column, east: Column, north: Column, size_m: float) -> Column:
     cell = lambda v: F.floor(v / F.lit(float(size_m))).cast("long").cast("string")
     return F.concat_ws("_", epsg.cast("string"), cell(east), cell(north))

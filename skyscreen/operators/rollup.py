@@ -80,9 +80,10 @@ def centre_zoom(points: DataFrame) -> DataFrame:
     return points.agg(F.round((F.min("lon") + F.max("lon")) / 2, 6).alias("center_lon"), F.round((F.min("lat") + F.max("lat")) / 2, 6).alias("center_lat"), F.round(zoom, 4).alias("zoom"))
 
 
-def write_features(points: DataFrame, path: str, county: str | None = "county") -> None:
-    """Newline-delimited GeoJSON, written by the executors: what tile builders read, at any size."""
+def write_features(points: DataFrame, path: str, county: str | None = "county") -> list[str]:
+    """Newline-delimited GeoJSON, written by the executors: what tile builders read, at any size. Gives the files' names."""
     features(points, county).select("feature").write.mode("overwrite").text(path)
+    return sorted(f.rsplit("/", 1)[-1] for f in points.sparkSession.read.text(path).inputFiles())
 
 
 def aggregates(findings: DataFrame, county: str = "county", weight: str | None = "n_locations") -> dict:
@@ -123,7 +124,7 @@ _PAGE = """<!DOCTYPE html>
 <body><header><b>{title}</b> {toggles} <select id="state"><option value="">all states</option>{states}</select>
 <select id="county"><option value="">all counties</option>{counties}</select></header><canvas id="c"></canvas>
 <script>
-const colours = {colours}, source = {source};
+const colours = {colours}, sources = {sources};
 const canvas = document.getElementById("c"), g = canvas.getContext("2d");
 let points = [];
 function draw() {{
@@ -139,18 +140,21 @@ function draw() {{
   }}
 }}
 document.querySelectorAll("input,select").forEach(x => x.addEventListener("change", draw));
-fetch(source).then(r => r.text()).then(t => {{ points = t.trim().split("\\n").map(JSON.parse); draw(); }});
+for (const s of sources) fetch(s).then(r => r.text()).then(t => {{
+  for (const line of t.split("\\n")) if (line) points.push(JSON.parse(line));
+  draw();
+}});
 </script></body></html>
 """
 
 
-def map_html(centre: dict, source: str, got: dict | None = None, title: str = "Sky obstruction", report: ReportSpec = ReportSpec()) -> str:
+def map_html(centre: dict, sources: list[str], got: dict | None = None, title: str = "Sky obstruction", report: ReportSpec = ReportSpec()) -> str:
     """A page that draws newline-delimited features by tier, with tier, state and county filters."""
     option = lambda value, name: f'<option value="{value}">{name}</option>'
     toggles = "".join(f'<label style="color:{c}"><input type="checkbox" value="{t}" checked>{t}</label>' for t, c in report.tier_colours)
     states = "".join(option(r["region"], r["state_name"]) for r in (got or {}).get("states", []))
     names = sorted((COUNTY_NAMES.get(r["region"], r["region"]), r["region"]) for r in (got or {}).get("counties", []))
-    return _PAGE.format(title=title, toggles=toggles, states=states, counties="".join(option(v, n) for n, v in names), colours=json.dumps(dict(report.tier_colours)), source=json.dumps(source), zoom=centre["zoom"], lon=centre["center_lon"], lat=centre["center_lat"])
+    return _PAGE.format(title=title, toggles=toggles, states=states, counties="".join(option(v, n) for n, v in names), colours=json.dumps(dict(report.tier_colours)), sources=json.dumps(sources), zoom=centre["zoom"], lon=centre["center_lon"], lat=centre["center_lat"])
 
 
 def write_report(content: str, filename: str, folder: str) -> str:

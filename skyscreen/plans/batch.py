@@ -50,9 +50,9 @@ def report(spark: SparkSession, out: str, folder: str) -> dict:
     anomalies = [r.asDict() for r in quality.output_audit(found, county="county", weight="n_locations").collect()]
     got = rollup.aggregates(found)
     points = rollup.placed(found, spark.read.parquet(f"{out}/coords"))
-    rollup.write_features(points, f"{out}/features")
+    files = rollup.write_features(points, f"{folder}/features")
     centre = rollup.centre_zoom(points).first().asDict()
-    rollup.write_report(rollup.map_html(centre, "features.ndjson", got), "map.html", folder)
+    rollup.write_report(rollup.map_html(centre, [f"features/{f}" for f in files], got), "map.html", folder)
     rollup.write_report(rollup.decision_log(got, anomalies, "map.html"), "decision_log.md", folder)
     rollup.write_report(json.dumps(got, indent=1, default=str), "aggregates.json", folder)
     rollup.write_report(json.dumps(anomalies, indent=1, default=str), "qa_report.json", folder)
