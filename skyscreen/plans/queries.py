@@ -429,12 +429,32 @@ def degenerate_regions(x: Fixtures) -> DataFrame:
     return quality.degenerate(x.findings, "tile_id")
 
 
-@query()
+def _region_rules_sql(key: str, scope: str, weight: str, order: int) -> str:
+    """Both rules of regions by one key, with the first ids of each region that was found."""
+    ids = f"(SELECT string_agg(location_id, ',' ORDER BY ord) FROM (SELECT location_id, ord FROM findings x WHERE {_SCORED} AND x.{key} = f.region ORDER BY ord LIMIT 10) q)"
+    head = lambda rule, text, metric, limit, found: f"SELECT '{rule}' AS rule, 'warn' AS severity, concat('{scope}:', f.region) AS scope, '{text}' AS detail, {metric} AS metric, {limit}::DOUBLE AS threshold, {ids} AS sample_ids, {order} AS rule_order FROM ({found}) f"
+    alike = f"SELECT {key} AS region, count(*) AS n_scored FROM findings WHERE {_SCORED} AND {key} IS NOT NULL GROUP BY 1 HAVING count(*) >= 20 AND min(round(obstruction_pct, 6)) = max(round(obstruction_pct, 6)) AND max(obstruction_pct) > 0"
+    return head("saturated_region", "nearly all scored locations are at risk", "f.rate", 0.95, _saturated_sql(key, weight)) + " UNION ALL " + head("degenerate_distribution", "all scored locations share one percentage", "f.n_scored::DOUBLE", 20, alike)
+
+
+_DETAILS = {"tier_inconsistent": "the tier differs from the band of its percentage", "pct_out_of_range": "a percentage beyond 0 to 100", "tier_pct_mismatch": "undetermined with a percentage, or scored without one"}
+_RUN_ROW = "SELECT '{}' AS rule, '{}' AS severity, 'run' AS scope, '{}' AS detail, {}::DOUBLE AS metric, {}::DOUBLE AS threshold, {} AS sample_ids, {} AS rule_order FROM {}"
+_AUDIT = " UNION ALL ".join([
+    *(_RUN_ROW.format(r, "warn" if r == "tier_pct_mismatch" else "critical", _DETAILS[r], "count(*)", 0, f"array_to_string({_sample(t)}, ',')", 0, f"findings WHERE {t} HAVING count(*) > 0") for r, t in _RULES.items()),
+    _RUN_ROW.format("undetermined_rate", "warn", "too many findings without a surface", "undetermined_rate", 0.2, "''", 1, "z WHERE undetermined_rate > 0.2"),
+    _RUN_ROW.format("low_confidence_rate", "warn", "too many findings of low confidence", "low_confidence_rate", 0.3, "''", 1, "z WHERE low_confidence_rate > 0.3"),
+    _RUN_ROW.format("spec_version_drift", "critical", "findings of several spec versions in one run", "count(DISTINCT spec_version)", 1, "''", 1, "findings HAVING count(DISTINCT spec_version) > 1"),
+    _region_rules_sql("tile_id", "tile", "1", 2),
+    _region_rules_sql("county", "county", "n_locations", 3),
+])
+
+
+@query(f", {_SUMMARY} {_AUDIT}", "findings")
 def output_audit(x: Fixtures) -> DataFrame:
-    return quality.output_audit(x.findings, county="county", weight="n_locations")
+    return quality.output_audit(x.findings, county="county", weight="n_locations").withColumn("sample_ids", F.array_join("sample_ids", ","))
 
 
-@query()
+@query(f", {_SUMMARY}, a AS ({_AUDIT}) SELECT count(*) AS n_anomalies, count(*) > 0 AS review_required, coalesce(bool_or(severity = 'critical'), false) AS has_critical FROM a", "findings")
 def review_verdict(x: Fixtures) -> DataFrame:
     return quality.verdict(quality.output_audit(x.findings, county="county", weight="n_locations"))
 
