@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir, stored  # noqa: F401
+
 #: A word is a run of anything but these six characters; ``bytes.split()`` cuts at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Characters of text that a Python worker holds as words at once.
@@ -20,30 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    It is set here only where it is unset and one machine runs everything.
-    """
-    got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().conf().get("spark.checkpoint.dir", "")
-    if got:
-        return got.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not getattr(spark, "_skyscreen_dir", None):
-        spark._skyscreen_dir = tempfile.mkdtemp(prefix="skyscreen-")
-        spark.sparkContext.setCheckpointDir(spark._skyscreen_dir)
-    return spark._skyscreen_dir
-
-
-def stored(df: DataFrame, name: str = "t") -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: lineage ends there, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal out a table that one or two files hold, so that all cores take part; larger tables stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import geo
 from ..functions.text import county_fips
+from ..session import stored
 from ..specs import CONUS, TileSpec
 
 
@@ -96,11 +97,11 @@ def dense_ids(keys: DataFrame, order: list[str], name: str, partitions: int | No
     """``keys`` with dense ids from 0 in global order, without sorting all rows in one task.
 
     Range partitions are counted, each gets the sum of those before it, and rows are numbered within their partition. The
-    running sum is over one row a partition.
+    running sum is over one row a partition. The dealt rows are written to the shared folder first: the ranges are found by
+    sampling, and a second dealing of the same rows would have other bounds.
     """
     n = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = keys.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
-    # the ranges are found by sampling, so both uses below must see one dealing: the counts come from the bounds of this one
+    dealt = stored(keys.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "dealt")
     bounds = dealt.groupBy("_part").agg(F.count("*").alias("_n"), F.min(F.struct(*order)).alias("_lo"))
     start = F.coalesce(F.sum("_n").over(Window.orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = bounds.select("_part", start.alias("_start"))

@@ -97,6 +97,12 @@ def test_dedup_ids_are_dense_and_ordered(spark):
     assert sum(r["n_locations"] for r in coords) == 500 and coords[0]["county"] == "01001"
 
 
+def test_dense_ids_beyond_the_range_sample(spark):
+    d = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("a"), (F.col("id") % 13).alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
+    got = sorted((r["a"], r["b"], r["i"]) for r in locations.dense_ids(d, ["a", "b"], "i").collect())
+    assert [i for _, _, i in got] == list(range(20_000))
+
+
 def finding(i, pct, tier, conf="high", spec="s", tile="t", county="37001", n=1):
     return (f"coord_{i}", i, i, tile, pct, tier, conf, spec, n, county)
 
