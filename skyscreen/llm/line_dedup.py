@@ -4,9 +4,10 @@ Lines with words are hashed. From each line a window runs on until it holds ``mi
 window is selected, so a passage of at least ``2 * min_words`` words has selected lines, and the same ones wherever it
 stands. A selected line brings the content of the window that begins and of the window that ends with it as fingerprints.
 Fingerprints that occur again join the first place that has them; the match grows both ways over equal neighbours, and the
-lines of the later run are deleted. The lines beyond a fingerprint's window that belong to the same passage and to no other
-fingerprint hold fewer than ``min_words`` words, so each fingerprint carries that much of its surroundings and no document
-is read again to extend a match.
+lines of the later run are deleted. Where the surroundings differ from those of the first place, the match also grows as far
+as any other earlier place allows: every longer stretch of neighbours, with the fingerprint, has a first place of its own.
+The lines beyond a fingerprint's window that belong to the same passage and to no other fingerprint hold fewer than
+``min_words`` words, so each fingerprint carries that much of its surroundings and no document is read again to extend a match.
 """
 
 from __future__ import annotations
@@ -66,18 +67,39 @@ def fingerprints(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return d.select(key.alias("key"), "doc_id", "version", "f.first", F.size("f.content").alias("n"), "f.before", "f.after")
 
 
+def _stretches(side: str, common: str) -> Column:
+    """``k, size`` of every stretch of neighbours on one side that is longer than what is shared with the first place."""
+    sizes = F.filter(F.sequence(F.lit(0), F.size(side)), lambda j: j > F.col(common))
+
+    def one(j: Column) -> Column:
+        part = F.slice(side, F.lit(1), j)
+        return F.struct(F.struct(F.xxhash64("key", F.lit(side), part).alias("x"), F.hash("key", F.lit(side), part).alias("y"), j.alias("z")).alias("k"), F.lit(side).alias("side"), j.alias("size"))
+
+    return F.transform(sizes, one)
+
+
 def repeated_runs(marks: DataFrame) -> DataFrame:
     """``doc_id, version, runs`` of documents with lines that stand in an earlier place too: (from, to) among worded lines.
 
-    Places are ordered by id (null first), version and line; the first place of a fingerprint is the one that stays.
+    Places are ordered by id (null first), version and line; the first place of a fingerprint is the one that stays. A later
+    place matches as many neighbours on each side as any earlier place shares, not the first one alone. The sides don't
+    depend on each other, as a run on either has the fingerprint's window and so ``min_words`` words.
     """
     marks = stored(marks, "line-marks")
     place = F.struct("doc_id", "version", "first")
     heads = marks.groupBy("key").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "version", "first", "before", "after")).alias("head")).where("times > 1").select("key", "head")
     heads = stored(heads, "line-heads")  # so that the join can split a hot key
     later = marks.join(heads, "key").where(~place.eqNullSafe(F.struct("head.doc_id", "head.version", "head.first")))
-    run = F.struct((F.col("first") - _leading(F.col("before"), F.col("head.before"))).alias("from"), (F.col("first") + F.col("n") - 1 + _leading(F.col("after"), F.col("head.after"))).alias("to"))
-    return later.groupBy("doc_id", "version").agg(F.collect_set(run).alias("runs"))
+    later = later.withColumn("up", _leading(F.col("before"), F.col("head.before"))).withColumn("down", _leading(F.col("after"), F.col("head.after")))
+    last = F.col("first") + F.col("n") - 1
+    later = stored(later.select("doc_id", "version", "first", "n", "up", "down", F.concat(_stretches("before", "up"), _stretches("after", "down")).alias("more")), "line-later")
+    runs = later.select("doc_id", "version", F.struct((F.col("first") - F.col("up")).alias("from"), (last + F.col("down")).alias("to")).alias("run"))
+    more = later.select("doc_id", "version", "first", "n", F.explode("more").alias("m")).select("doc_id", "version", "first", "n", "m.*")
+    firsts = more.groupBy("k").agg(F.min(place).alias("head"), F.max(place).alias("tail")).where(~F.col("head").eqNullSafe(F.col("tail"))).select("k", "head")
+    firsts = stored(firsts, "line-firsts")  # as above
+    longer = more.join(firsts.hint("merge"), "k").where(~place.eqNullSafe(F.col("head")))
+    grown = F.struct((F.col("first") - F.when(F.col("side") == "before", F.col("size")).otherwise(0)).alias("from"), (last + F.when(F.col("side") == "after", F.col("size")).otherwise(0)).alias("to"))
+    return runs.unionByName(longer.select("doc_id", "version", grown.alias("run"))).groupBy("doc_id", "version").agg(F.collect_set("run").alias("runs"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -147,6 +147,37 @@ def test_repeated_lines_go(spark):
         assert after == [x for x in before if x not in gone] and r["lines_removed"] == len(gone)
 
 
+def test_passages_go_whatever_else_shares_their_lines(spark):
+    """Runs of 50 words or more that stand in any earlier place leave no line, by brute force; and no line goes without reason."""
+    rng = random.Random(7)
+    rows = []
+    for k in range(120):  # the second line of the last two is shared, its neighbours come from two earlier documents
+        a, b = rand_text(rng, 30), rand_text(rng, 30)
+        s = rand_text(rng, 10)
+        rows += [(4 * k, a, "s"), (4 * k + 1, b, "s"), (4 * k + 2, "\n".join((a, s, b)), "s"), (4 * k + 3, "\n".join((a, s, b)), "s")]
+    pool = [rand_text(rng, rng.choice((4, 8, 8, 15, 30))) for _ in range(60)]
+    for i in range(480, 640):  # passages that start and end anywhere, in changing company
+        at = [rng.randrange(40) for _ in range(3)]
+        rows.append((i, "\n".join(x for p in at for x in (rand_text(rng, 5), *pool[p : p + rng.randint(2, 20)])), "s"))
+    lines, words = [t.split("\n") for _, t, _ in rows], [[len(x.split()) for x in t.split("\n")] for _, t, _ in rows]
+    places, must, may = collections.defaultdict(list), [set() for _ in rows], [set() for _ in rows]
+    for d, doc in enumerate(lines):
+        for i, x in enumerate(doc):
+            for e, j in places[x]:
+                n = 0
+                while i + n < len(doc) and j + n < len(lines[e]) and doc[i + n] == lines[e][j + n]:
+                    n += 1
+                size = sum(words[d][i : i + n])
+                must[d].update(range(i, i + n) if size >= 50 else ())
+                may[d].update(range(i, i + n) if size >= 25 else ())
+            places[x].append((d, i))
+    cut = {r["doc_id"]: collections.Counter(r["text"].split("\n")) for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
+    for d, doc in enumerate(lines):
+        kept = collections.Counter(x for i, x in enumerate(doc) if i not in must[d])
+        sure = collections.Counter(x for i, x in enumerate(doc) if i not in may[d])
+        assert not (cut[d] - kept - collections.Counter({"": 1})) and not (sure - cut[d]), d
+
+
 def test_models_learn(spark):
     rng = random.Random(6)
     rows = [(i, " ".join(w + ("&&&" if i % 4 == 0 else "") for w in rand_text(rng, 80).split()), "s") for i in range(600)]
