@@ -68,6 +68,13 @@ def horizons(surface: Surface, x: np.ndarray, y: np.ndarray, z: np.ndarray, spec
     """(horizon by point and bearing, clearance likewise, share of samples with data, the same of those nearby)."""
     azimuth, step = bearings(spec.azimuth_step_deg), max(1.0, surface.gsd)
     radius = np.arange(step, spec.max_radius_m + step * 1e-9, step)
+    n, near = len(azimuth) * len(radius), radius <= spec.confidence_near_field_m
+    n_near = len(azimuth) * int(near.sum())
+    # samples beyond the farthest corner have no data: they count as samples and need no look
+    h, w = surface.elevation.shape
+    reach = np.fmax.reduce(np.hypot(np.fmax(np.abs(x - surface.x0), np.abs(surface.x0 + w * surface.gsd - x)), np.fmax(np.abs(surface.y0 - y), np.abs(y - surface.y0 + h * surface.gsd)))) + 2 * surface.gsd
+    held = max(1, int((radius <= reach).sum()))
+    radius, near = radius[:held], near[:held]
     east, north = np.sin(np.radians(azimuth)), np.cos(np.radians(azimuth))
     ground = surface.at(x[:, None, None] + east[:, None] * radius, y[:, None, None] + north[:, None] * radius)
     if spec.earth_curvature:
@@ -76,8 +83,8 @@ def horizons(surface: Surface, x: np.ndarray, y: np.ndarray, z: np.ndarray, spec
     rise = ground - z[:, None, None]
     angle = np.where(known, np.degrees(np.arctan2(np.where(known, rise, 0.0), radius)), -90.0)
     room = np.where(known, radius * np.tan(np.radians(max(1e-3, spec.min_elevation_deg))) - np.where(known, rise, 0.0), np.inf)
-    near = radius <= spec.confidence_near_field_m
-    return angle.max(2), room.min(2), known.mean((1, 2)), known[:, :, near].mean((1, 2)) if near.any() else known.mean((1, 2))
+    share = known.sum((1, 2)) / n
+    return angle.max(2), room.min(2), share, known[:, :, near].sum((1, 2)) / n_near if n_near else share
 
 
 def obstruction(horizon: np.ndarray, azimuth: np.ndarray, spec: SkySpec) -> tuple[float, list[float]]:
@@ -102,7 +109,12 @@ def confidence_of(provenance: str | None, near: float, clearance: float | None,
 
 
 def score_block(surface: Surface, x: np.ndarray, y: np.ndarray, mount: np.ndarray, spec: SkySpec, surface_confidence: str | None = None) -> list[dict]:
-    """A finding for each point: scored on the surface, or undetermined where there is none under it."""
+    """A finding for each point: scored on the surface, or undetermined where there is none under it.
+
+    Points at one place and height, as candidates of neighbouring sites are, are scored once.
+    """
+    places, back = np.unique(np.stack((x, y, mount), 1), axis=0, return_inverse=True)
+    x, y, mount = places.T
     azimuth, out = bearings(spec.azimuth_step_deg), []
     cone = weights(azimuth, spec) > 0
     for a in range(0, len(x), POINTS_AT_ONCE):
@@ -118,7 +130,7 @@ def score_block(surface: Surface, x: np.ndarray, y: np.ndarray, mount: np.ndarra
             clearance = round(float(free.min()), 2) if len(free) else None
             provenance, share = surface.provenance_at(float(px[k]), float(py[k])), round(float(near[k]), 4)
             out.append({"obstruction_pct": pct, "risk_tier": tier_of(pct, spec), "confidence": confidence_of(provenance, share, clearance, surface_confidence, spec), "surface_provenance": provenance, "clearance_margin_m": clearance, "sampled_fraction": round(float(sampled[k]), 4), "near_sampled_fraction": share, "blocked_azimuths": blocked, "max_horizon_deg": round(float(horizon[k].max()), 2), "mean_horizon_deg": round(float(horizon[k].mean()), 2), "z_surface_m": round(float(ground[k]), 2)})
-    return out
+    return [out[i] for i in back.ravel()]
 
 
 _FINDING = pa.schema([("location_id", pa.string()), ("tile_id", pa.string()), ("dish_height_m", pa.float64()), ("obstruction_pct", pa.float64()), ("risk_tier", pa.string()), ("confidence", pa.string()), ("surface_provenance", pa.string()), ("clearance_margin_m", pa.float64()), ("sampled_fraction", pa.float64()), ("near_sampled_fraction", pa.float64()), ("blocked_azimuths", pa.list_(pa.float64())), ("max_horizon_deg", pa.float64()), ("mean_horizon_deg", pa.float64()), ("z_surface_m", pa.float64()), ("spec_version", pa.string()), ("error", pa.string())])

@@ -337,11 +337,22 @@ def horizon_kernel(x: Fixtures) -> DataFrame:
     return horizon.score(points, _packed(x, surface), _RAYS).select("location_id", "obstruction_pct", "risk_tier")
 
 
+def _every_pixel(x: Fixtures) -> tuple[DataFrame, DataFrame]:
+    surface = raster.surface_pixels(x.layers)
+    name = F.concat_ws("_", F.lit("o"), *(F.col(c).cast("string") for c in raster.PIXEL))
+    points = surface.where("elevation is not null").select(name.alias("location_id"), "tile_id", (F.col("col_idx") * 10.0 + 5.0).alias("x"), (F.col("row_idx") * -10.0 - 5.0).alias("y"))
+    return points, _packed(x, surface)
+
+
+@query()
+def horizon_every_pixel(x: Fixtures) -> DataFrame:
+    """The operator as in production: an observer at every pixel with an elevation, all bearings, the whole radius."""
+    return horizon.score(*_every_pixel(x), SkySpec()).select("location_id", "obstruction_pct", "risk_tier", "confidence", "clearance_margin_m", "sampled_fraction", "max_horizon_deg")
+
+
 @query()
 def clear_spots(x: Fixtures) -> DataFrame:
-    points, surface = _observers(x)
-    sites = points.select("location_id", "tile_id", "x", (-F.col("y")).alias("y"))
-    return horizon.find_spots(sites, _packed(x, surface), _RAYS, buffer_m=20.0, grid_m=10.0).select("location_id", "rank", "dx", "dy", "dish_height_m", "obstruction_pct", "improvement_pct", "n_candidates")
+    return horizon.find_spots(*_every_pixel(x), SkySpec()).select("location_id", "rank", "dx", "dy", "dish_height_m", "obstruction_pct", "improvement_pct", "n_candidates")
 
 
 @query("""SELECT location_id, a.range * 10.0::DOUBLE - 20.0 AS dx, b.range * 10.0::DOUBLE - 20.0 AS dy, h.h::DOUBLE AS dish_height_m FROM findings f, range(0, 5) a, range(0, 5) b, (SELECT unnest([0.0, 0.3, 0.6]) AS h) h

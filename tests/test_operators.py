@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from skyscreen.functions import geo, sky
 from skyscreen.operators import catalog, horizon, locations, quality, raster, rollup, work
+from skyscreen.plans.fixtures import Fixtures
+from skyscreen.plans.queries import QUERIES
 from skyscreen.sources import geotiff, tables
 from skyscreen.specs import AOI, COUNTY_NAMES, SkySpec
 
@@ -67,6 +69,44 @@ def test_horizon_kernel():
     assert h[0] == pytest.approx(np.degrees(np.arctan2(30, 50)), abs=3)
 
 
+def plain_score(z, x, y, mount, spec):
+    """(percentage, share of samples with data) of one point on pixels of 10 m from (0, 0) down, sample by sample."""
+
+    def at(px, py):
+        r, c = np.asarray(-py / 10.0 - 0.5), np.asarray(px / 10.0 - 0.5)
+        padded = np.pad(z, 2, constant_values=np.nan)
+        total, weight = 0.0, 0.0
+        for i, wr in ((np.floor(r), 1 - r + np.floor(r)), (np.floor(r) + 1, r - np.floor(r))):
+            for j, wc in ((np.floor(c), 1 - c + np.floor(c)), (np.floor(c) + 1, c - np.floor(c))):
+                v = padded[np.clip(i + 2, 0, len(padded) - 1).astype(int), np.clip(j + 2, 0, len(padded[0]) - 1).astype(int)]
+                total, weight = total + np.nan_to_num(v) * wr * wc, weight + np.isfinite(v) * wr * wc
+        return np.where(weight > 0, total / np.maximum(weight, 1e-300), np.nan)
+
+    azimuth = np.arange(0, 360, spec.azimuth_step_deg)
+    radius = np.arange(1, spec.max_radius_m // 10 + 1) * 10.0
+    a = np.radians(azimuth)[:, None]
+    ground = at(x + radius * np.sin(a), y + radius * np.cos(a))
+    angle = np.where(np.isfinite(ground), np.degrees(np.arctan2(ground - float(at(x, y)) - mount, radius)), -90.0)
+    return round(horizon.obstruction(angle.max(1), azimuth, spec)[0], 2), round(float(np.isfinite(ground).mean()), 4)
+
+
+def test_whole_queries_equal_brute_force(spark):
+    sf, spec = "/root/testdata/sf0.001", SkySpec()
+    tiles = {}
+    for r in raster.surface_pixels(Fixtures(spark, sf).layers).collect():
+        tiles.setdefault(r["tile_id"], np.full((10, 10), np.nan))[r["row_idx"], r["col_idx"]] = np.nan if r["elevation"] is None else r["elevation"]
+    spots = {(t, r, c, m): plain_score(z, c * 10.0 + 5, -r * 10.0 - 5, m, spec) for t, z in tiles.items() for r in range(10) for c in range(10) if np.isfinite(z[r, c]) for m in spec.mount_heights_m}
+    got = {tuple(map(int, r["location_id"].split("_")[1:])): (r["obstruction_pct"], r["sampled_fraction"]) for r in QUERIES["horizon_every_pixel"](spark, sf).collect()}
+    want = {k[:3]: v for k, v in spots.items() if k[3] == 0}
+    assert got.keys() == want.keys() and all(abs(got[k][0] - want[k][0]) < 0.0101 and abs(got[k][1] - want[k][1]) < 1.01e-4 for k in want)
+    found = [r for r in QUERIES["clear_spots"](spark, sf).collect() if r["rank"] == 1]
+    assert {tuple(map(int, r["location_id"].split("_")[1:])) for r in found} == want.keys()
+    for r in found:
+        t, row, col = map(int, r["location_id"].split("_")[1:])
+        near = [v[0] for (u, i, j, _), v in spots.items() if u == t and (i - row) ** 2 + (j - col) ** 2 <= 25]
+        assert r["n_candidates"] == len(near) and r["obstruction_pct"] == pytest.approx(min(near), abs=0.0101)
+
+
 def test_worked_obstruction():
     azimuth = np.array([0.0, 30.0, 50.0])
     pct, _ = horizon.obstruction(np.array([40.0, 30.0, 0.0]), azimuth, SkySpec())
