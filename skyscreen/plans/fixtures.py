@@ -51,8 +51,11 @@ SIGNALS = """SELECT CAST(c_custkey AS BIGINT) AS id, CASE c_custkey % 6 WHEN 0 T
 MOUNTS = """SELECT concat('s', CAST(l_partkey AS STRING)) AS location_id, CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS ord,
  CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE CAST(l_linenumber % 3 AS DOUBLE) * CAST(0.3 AS DOUBLE) END AS dish_height_m, CAST(l_orderkey % 100 AS DOUBLE) AS obstruction_pct FROM lineitem WHERE l_linenumber <= 3"""
 
+#: The same over the whole table.
+ALL_MOUNTS = MOUNTS.removesuffix(" WHERE l_linenumber <= 3")
+
 TABLES = {"orders": "orders", "part": "part", "supplier": "supplier", "customer": "customer", "lineitem": "lineitem"}
-_VIEWS = {"locations": LOCATIONS, "keyed": KEYED, "unique_coords": UNIQUE, "findings": FINDINGS, "layers": LAYERS, "items": ITEMS, "signals": SIGNALS, "mounts": MOUNTS}
+_VIEWS = {"locations": LOCATIONS, "keyed": KEYED, "unique_coords": UNIQUE, "findings": FINDINGS, "layers": LAYERS, "items": ITEMS, "signals": SIGNALS, "mounts": MOUNTS, "all_mounts": ALL_MOUNTS}
 
 
 def ctes(*names: str) -> str:
@@ -103,3 +106,7 @@ class Fixtures:
     @property
     def mounts(self) -> DataFrame:
         return self._sql(MOUNTS, lineitem=self.table("lineitem"))
+
+    @property
+    def all_mounts(self) -> DataFrame:
+        return self._sql(ALL_MOUNTS, lineitem=self.table("lineitem"))

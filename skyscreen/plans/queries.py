@@ -367,6 +367,12 @@ def lowest_mount_merge(x: Fixtures) -> DataFrame:
     return horizon.lowest_mount(x.mounts).select("location_id", "ord", "dish_height_m", "obstruction_pct")
 
 
+@query("""SELECT location_id, ord, dish_height_m, obstruction_pct FROM (SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY CASE WHEN has THEN coalesce(dish_height_m, 'infinity'::DOUBLE) ELSE 0 END, ord) AS k
+FROM (SELECT *, first_value(dish_height_m) OVER (PARTITION BY location_id ORDER BY ord) IS NOT NULL AS has FROM all_mounts) a) b WHERE k = 1""", "all_mounts")
+def lowest_mount_merge_all(x: Fixtures) -> DataFrame:
+    return horizon.lowest_mount(x.all_mounts).select("location_id", "ord", "dish_height_m", "obstruction_pct")
+
+
 # --- quality
 
 _SCORED = "risk_tier IN ('clear', 'at_risk', 'severe')"

@@ -107,6 +107,18 @@ def test_whole_queries_equal_brute_force(spark):
         assert r["n_candidates"] == len(near) and r["obstruction_pct"] == pytest.approx(min(near), abs=0.0101)
 
 
+def test_lowest_mount_of_the_whole_table(spark):
+    sf, lines = "/root/testdata/sf0.001", {}
+    for r in spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_partkey", "l_orderkey", "l_linenumber").collect():
+        ord_ = r["l_orderkey"] * 8 + r["l_linenumber"]
+        lines.setdefault(f"s{r['l_partkey']}", []).append((ord_, None if r["l_orderkey"] % 13 == 0 else r["l_linenumber"] % 3 * 0.3))
+    want = {}
+    for s, rows in lines.items():
+        rows.sort(key=lambda x: x[0])
+        want[s] = rows[0][0] if rows[0][1] is None else min((h, o) for o, h in rows if h is not None)[1]
+    assert {r["location_id"]: r["ord"] for r in QUERIES["lowest_mount_merge_all"](spark, sf).collect()} == want
+
+
 def test_worked_obstruction():
     azimuth = np.array([0.0, 30.0, 50.0])
     pct, _ = horizon.obstruction(np.array([40.0, 30.0, 0.0]), azimuth, SkySpec())
