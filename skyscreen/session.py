@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,9 +62,50 @@ def shared_dir(spark: SparkSession) -> str:
     return spark._skyscreen_dir
 
 
+#: Written tables that :func:`scratch` is to delete, the innermost block last.
+_OPEN: list[Scratch] = []
+
+
+class Scratch:
+    """The tables that were written within a block, and must not outlive it."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Leave a stored table to the block around this one, or to the caller if there is none."""
+        self.paths.remove(df._stored_at)
+        if _OPEN.index(self):
+            _OPEN[_OPEN.index(self) - 1].paths.append(df._stored_at)
+        return df
+
+
 def stored(df: DataFrame, name: str = "t") -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: lineage ends there, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _OPEN:
+        _OPEN[-1].paths.append(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete the folders of written tables, wherever the shared folder is."""
+    for path in paths:
+        there = spark._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """Delete the tables that :func:`stored` writes within this block when it ends, but for those that are kept. Blocks nest."""
+    block = Scratch()
+    _OPEN.append(block)
+    try:
+        yield block
+    finally:
+        _OPEN.remove(block)
+        discard(spark, *block.paths)
