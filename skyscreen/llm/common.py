@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir, stored  # noqa: F401
+from ..session import discard, scratch, shared_dir, stored  # noqa: F401
 
 #: A word is a run of anything but these six characters; ``bytes.split()`` cuts at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,10 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal out a table that one or two files hold, so that all cores take part; larger tables stay as they are."""
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a table that one or two files hold, so that all cores take part; larger tables stay as they are.
+
+    Rows are dealt in turn, not by a key: no key, null or frequent, lands in one task.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= min(cores, 4) else df.repartition(cores, *(keys or ("doc_id",)))
+    return df if df.rdd.getNumPartitions() >= min(cores, 4) else df.repartition(cores)
 
 
 def crc_mod(column: str, mod: int):
@@ -44,3 +48,12 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text", chars: int = CHUNK_
             texts, start, held = [], i + 1, 0
     if texts:
         yield start, texts
+
+
+def give_back() -> None:
+    """Return the memory that a worker has freed to the system: reused workers otherwise keep the most they ever held."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, scratch, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -23,12 +23,17 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``edges`` (a, b): the label is the smallest node of its component.
 
-    Null ends and loops are ignored. Every round is written to the shared folder; only two sums come to the driver.
+    Null ends and loops are ignored; without edges there are no nodes. Every round is written to the shared folder, where only
+    the last one stays; only two sums come to the driver.
     """
+    spark = edges.sparkSession
     now = stored(edges.select("a", "b").where("a is not null and b is not null and a <> b"), "cc")
     state = None
     while True:
-        now = stored(_star(_star(now, True), False).distinct(), "cc")
+        with scratch(spark) as block:
+            after = block.keep(stored(_star(_star(now, True), False).distinct(), "cc"))
+        discard(spark, now._stored_at)
+        now = after
         got = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if got == state:
             break
