@@ -3,14 +3,14 @@
 The distinct pieces of a chunk of text become padded matrices of token ids, one for each bucket of lengths. In each round
 every row merges its leftmost pair of minimum rank; pairs are looked up in a hashed table, rows close the gap, and finished
 rows leave the matrix. Ranks are those of a vocabulary file: any two neighbours whose joined bytes are a token may merge.
+A piece too long for one line has a padded matrix to itself, read line by line: the round is the same, and only the line
+that merges closes its gap, so a piece of n bytes takes about n * sqrt(n) steps. Pieces of any length are encoded whole.
 """
 
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator
 from itertools import repeat
@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spread, text_chunks
+from .common import give_back, spread, text_chunks
 from .hashing import IntTable
 
 _NONE = np.int32(1 << 30)
-#: Pieces of more bytes are merged one by one with a heap, in the same order.
-LONGEST_ROW = 256
+#: Bytes of the longest piece that shares a matrix with others, and entries of a matrix of many rows.
+LONGEST_ROW, MATRIX = 4096, 1 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -64,7 +64,7 @@ class PairTable:
 class Bpe:
     """Encoder and decoder for a table of ranks and a pattern that splits text into pieces."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cache: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache: int = 150_000):
         import regex
 
         self.is_latin, self.split_latin = _LATIN_ONLY.fullmatch, re.compile(_latin(pattern)).findall
@@ -84,26 +84,37 @@ class Bpe:
         self.flat = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
 
-    def _heap_merge(self, ids: list[int]) -> list[int]:
-        table, n = self.table, len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        ranks = table.get(np.array(ids[:-1], np.int64), np.array(ids[1:], np.int64))
-        heap = [(int(r), i, ids[i], ids[i + 1]) for i, r in enumerate(ranks) if r != _NONE]
-        heapq.heapify(heap)
-        one = lambda a, b: int(table.get(np.array([a], np.int64), np.array([b], np.int64))[0])
-        while heap:
-            rank, i, a, b = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] != a or j >= n or ids[j] != b:
-                continue
-            ids[i], ids[j], after[i] = rank, -1, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (r := one(rank, ids[after[i]])) != _NONE:
-                    heapq.heappush(heap, (r, i, rank, ids[after[i]]))
-            if (h := before[i]) >= 0 and (r := one(ids[h], rank)) != _NONE:
-                heapq.heappush(heap, (r, h, ids[h], rank))
-        return [x for x in ids if x >= 0]
+    def merge_long(self, piece: np.ndarray) -> np.ndarray:
+        """Merge one long row that is laid out over the lines of a padded matrix."""
+        n, width = len(piece), 1 << (len(piece).bit_length() // 2 + 1)
+        lines = -(-n // width)
+        ids, pairs = np.zeros((lines, width), np.int32), np.full((lines, width), _NONE, np.int32)
+        ids.reshape(-1)[:n], pairs.reshape(-1)[: n - 1] = piece, self.table.get(piece[:-1], piece[1:])
+        ends = [min(width, n - k * width) for k in range(lines)]
+        before, after = list(range(-1, lines - 1)), list(range(1, lines + 1))  # lines that still hold tokens
+        least = pairs.min(1)
+        while (rank := least[line := int(least.argmin())]) != _NONE:
+            at = int(pairs[line].argmin())
+            other, gap = (line, at + 1) if at + 1 < ends[line] else (after[line], 0)
+            end = ends[other] = ends[other] - 1
+            ids[line, at] = rank
+            # compaction of the line that holds the pair's right half
+            ids[other, gap:end], pairs[other, gap:end] = ids[other, gap + 1 : end + 1], pairs[other, gap + 1 : end + 1]
+            pairs[other, end] = pairs[line, at] = _NONE
+            if not end:
+                if after[other] < lines:
+                    before[after[other]] = before[other]
+                after[before[other]] = after[other]
+            right = (line, at + 1) if at + 1 < ends[line] else (after[line], 0) if after[line] < lines else None
+            left = (line, at - 1) if at else (before[line], ends[before[line]] - 1) if before[line] >= 0 else None
+            found = self.table.get(np.array([rank, ids[left] if left else 0], np.int64), np.array([ids[right] if right else 0, rank], np.int64))
+            if right:
+                pairs[line, at] = found[0]
+            if left:
+                pairs[left] = found[1]
+            for k in {line, other, left[0] if left else line}:
+                least[k] = pairs[k].min()
+        return ids[np.arange(width) < np.array(ends)[:, None]]
 
     def merge_rows(self, ids: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge every row of a padded matrix to its end; gives the matrix, left-aligned, and the new lengths."""
@@ -142,15 +153,15 @@ class Bpe:
         whole = np.fromiter(map(self.ranks.get, data, repeat(-1)), np.int32, len(data))
         counts, places, parts = np.where(whole >= 0, 1, 0), [np.flatnonzero(whole >= 0)], [whole[whole >= 0]]
         for k in np.flatnonzero((whole < 0) & (lens > LONGEST_ROW)).tolist():
-            ids = self._heap_merge(self.first[np.frombuffer(data[k], np.uint8)].tolist())
+            ids = self.merge_long(self.first[np.frombuffer(data[k], np.uint8)])
             counts[k] = len(ids)
             places.append(np.full(len(ids), k))
-            parts.append(np.array(ids, np.int32))
+            parts.append(ids)
         width = 4
         while width <= LONGEST_ROW:
             inside = (whole < 0) & (lens <= width) & (lens > (width // 2 if width > 4 else 0))
-            members = np.flatnonzero(inside)
-            for part in (members[at : at + 8192] for at in range(0, len(members), 8192)):
+            members, step = np.flatnonzero(inside), min(8192, MATRIX // width)
+            for part in (members[at : at + step] for at in range(0, len(members), step)):
                 ids, ends = self.merge_rows(self.first[raw[starts[part][:, None] + np.arange(width)]], lens[part])
                 counts[part] = ends
                 places.append(np.repeat(part, ends))
@@ -207,14 +218,14 @@ _WORKER: dict = {}
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row, and ``ids`` (little-endian uint32) if asked for.
 
-    The vocabulary is read on the executors from ``ranks_path``. Null texts count as empty and have no ids; an empty table
-    gives an empty result; repeated rows are encoded alike; other columns are ignored.
+    The vocabulary is read on the executors from ``ranks_path``. Null texts count as empty and have no ids; texts of any
+    length are encoded whole; null ids stay null; repeated rows are encoded alike, a result row each; of equal ranks the
+    leftmost pair merges first; an empty table gives an empty result; other columns, of whatever name, are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if _WORKER.get("key") != (ranks_path, pattern):
             _WORKER.update(key=(ranks_path, pattern), bpe=Bpe(load_ranks(ranks_path), pattern))
-            gc.disable()  # millions of short strings and no cycles
         bpe = _WORKER["bpe"]
         for batch in batches:
             doc_ids = batch.column(0)
@@ -225,6 +236,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
                 parts = [raw[a:b].tobytes() for a, b in zip(stops[:-1], stops[1:], strict=True)]
                 columns = [doc_ids.slice(start, len(texts)), counts, [hashlib.sha256(p).hexdigest() for p in parts], [hashlib.sha256(b).hexdigest() for b in back], parts if with_ids else [None] * len(texts)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, _OUT, strict=True)], schema=_OUT)
+        give_back()
 
     narrow = spread(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     out = narrow.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary")
@@ -232,15 +244,16 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``doc_id, text`` from ``doc_id, ids``; null ids give null."""
+    """``doc_id, text`` from ``doc_id, ids``: null ids give null, empty ones the empty text, each row one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(load_ranks(ranks_path), pattern)
         for batch in batches:
-            texts = []
-            for value in batch.column(1):
-                ids = np.frombuffer(value.as_py() or b"", "<u4").astype(np.int64)
-                texts.append(bpe.decode(ids, np.array([len(ids)]))[0].decode("utf-8", "replace") if value.is_valid else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+            for start in range(0, batch.num_rows, 256):
+                part, texts = batch.slice(start, 256), []
+                for value in part.column(1):
+                    ids = np.frombuffer(value.as_py() or b"", "<u4").astype(np.int64)
+                    texts.append(bpe.decode(ids, np.array([len(ids)]))[0].decode("utf-8", "replace") if value.is_valid else None)
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
