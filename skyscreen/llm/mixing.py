@@ -2,8 +2,9 @@
 
 Every document draws an exponential key, divided by its quality weight; sorted by key, the documents of a source are a
 weighted sample without replacement, whatever the prefix. A source first gives its complete epochs, then the prefix of its
-sorted documents that meets the rest of its budget. The prefix sum is found in two steps, so that no source is sorted in
-one task: sums by key bin give the bin in which the budget ends, and only that bin's documents are put in order.
+sorted documents that meets the rest of its budget. No source is sorted in one task: keys are read as numbers of four digits,
+sums by digit give the digit in which the budget ends, and so on within that digit until few documents are left, whatever the
+size of the source. Only those are put in order.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql.window import Window
 
 from .common import WORD, stored
 
-#: Key bins of a source; one bin of one source is the most that one task sorts.
-BINS = 4096
+#: Bits of a digit of a key, digits of a key, and documents of a source that are few enough to be put in order.
+DIGIT_BITS, DIGITS, FEW = 12, 4, 50_000
 
 
 def n_words(text: Column) -> Column:
@@ -53,39 +54,74 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0
     return d.select("source", "source_size", F.least("cap", F.coalesce(F.col("level") * F.col("w"), F.col("cap"))).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", bins: int = BINS) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for every row of ``docs``, those that the mix leaves out with taken 0.
-
-    ``taken`` is the document's size times its number of epochs; documents are taken whole, and the last one of a source is
-    taken if that brings the source nearer to its target. Null texts have size 0, null sources are one source that comes
-    last, ties of keys go by id, repeated rows draw equal keys, an empty table gives an empty result, other columns are
-    ignored. The draw depends on ``seed`` and id alone, so reruns agree.
-    """
-    key = -F.log(draw(seed, F.col("doc_id"))) / F.col("weight")
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), quality_weight(F.col(text_col)).alias("weight"))
-    narrow = stored(narrow.withColumn("key", key).withColumn("bin", F.floor(F.lit(bins) * (F.lit(1.0) - F.exp(-F.col("key")))).cast("int")), "mix-keys")
-    by_bin = narrow.groupBy("source", "bin").agg(F.sum("size").alias("n"))
-    plan = source_targets(by_bin.groupBy("source").agg(F.sum("n").alias("source_size")), weights, share, most)
+def _mixed(docs: DataFrame, weights: tuple[float, ...], share: float, most: float, seed: str, id_col: str, source_col: str, text_col: str, weight: Column | None, few: int, bits: int, carry: bool) -> DataFrame:
+    """``doc_id, source, size, source_size, target, taken`` of every row, and all its columns as ``row`` if they are carried."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    own = F.coalesce(F.col(id_col).cast("string"), F.md5(text.cast("binary")))  # rows without an id draw by their text
+    key = -F.log(draw(seed, own)) / (quality_weight(text) if weight is None else weight)
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text).alias("size"), key.alias("key"), *row)
+    place = F.floor(F.col("key") / (F.lit(1.0) + F.col("key")) * F.lit(float(1 << bits * DIGITS))).cast("long")
+    narrow = stored(narrow.withColumn("place", place), "mix-keys")
+    upto = lambda level: F.shiftright("place", bits * (DIGITS - level))
+    by_digit = narrow.groupBy("source", upto(1).alias("at")).agg(F.sum("size").alias("n"), F.count("*").alias("rows"))
+    by_digit = stored(by_digit, "mix-digits")
+    plan = source_targets(by_digit.groupBy("source").agg(F.sum("n").alias("source_size")), weights, share, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + F.lit(1e-12))).otherwise(0).cast("long")
-    plan = stored(plan.withColumn("epochs", epochs).withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size"))), "mix-plan")
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = by_bin.withColumn("before", before).alias("b").join(plan.select("source", "rest").alias("p"), F.col("b.source").eqNullSafe(F.col("p.source")))
-    cut = cut.where("before + n > rest").groupBy("b.source").agg(F.min(F.struct("bin", "before")).alias("at"))
-    plan = stored(plan.alias("p").join(cut.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left").select("p.*", F.col("at.bin").alias("cut_bin"), F.col("at.before").alias("before")), "mix-cut")
-    d = narrow.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source"))).select("d.doc_id", "d.source", "d.size", "d.key", "d.bin", "p.source_size", "p.target", "p.epochs", "p.rest", "p.cut_bin", "p.before")
-    out = lambda x, part: x.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("epochs") + part.cast("long"))).alias("taken"), "source")
-    on_cut = F.coalesce(F.col("bin") == F.col("cut_bin"), F.lit(False))
-    clear = out(d.where(~on_cut), F.coalesce(F.col("bin") < F.col("cut_bin"), F.lit(True)) & (F.col("rest") > 0))
-    in_order = Window.partitionBy("source", "bin").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    plan = plan.withColumn("epochs", epochs).withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size")))
+    plan = stored(plan.withColumn("before", F.lit(0).cast("long")), "mix-plan")
+    level = 1
+    while True:
+        before = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        cut = by_digit.withColumn("below", before).alias("b").join(plan.select("source", "rest", "before").alias("p"), F.col("b.source").eqNullSafe(F.col("p.source")))
+        cut = cut.where("p.before + below + n > rest").groupBy("b.source").agg(F.min(F.struct("at", (F.col("p.before") + F.col("below")).alias("before"), "rows")).alias("c"))
+        plan = plan.drop("cut", "rows").withColumnRenamed("before", "was").alias("p").join(cut.alias("q"), F.col("p.source").eqNullSafe(F.col("q.source")), "left")
+        plan = plan.select("p.*", F.col("c.at").alias("cut"), F.coalesce("c.before", "was").alias("before"), F.col("c.rows").alias("rows")).drop("was")
+        plan = stored(plan, "mix-plan")
+        if level == DIGITS or plan.where(F.col("rows") > few).isEmpty():
+            break
+        inside = narrow.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")) & (upto(level) == F.col("p.cut")))
+        level += 1
+        by_digit = inside.groupBy("d.source", upto(level).alias("at")).agg(F.sum("size").alias("n"), F.count("*").alias("rows"))
+        by_digit = stored(by_digit, "mix-digits")
+    d = narrow.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source"))).withColumn("at", upto(level))
+    d = d.select("d.doc_id", "d.source", "d.size", "d.key", "at", "p.source_size", "p.target", "p.epochs", "p.rest", "p.cut", "p.before", *(["d.row"] if carry else []))
+    out = lambda x, part: x.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("epochs") + part.cast("long"))).alias("taken"), "source", (F.col("epochs") + part.cast("long")).alias("times"), *(["row"] if carry else []))
+    on_cut = F.coalesce(F.col("at") == F.col("cut"), F.lit(False))
+    clear = out(d.where(~on_cut), F.coalesce(F.col("at") < F.col("cut"), F.lit(True)) & (F.col("rest") > 0))
+    in_order = Window.partitionBy("source").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     edge = d.where(on_cut).withColumn("below", F.col("before") + F.coalesce(F.sum("size").over(in_order), F.lit(0)))
     return clear.unionByName(out(edge, F.col("below") + F.col("size") / F.lit(2.0) <= F.col("rest")))
 
 
-#: The same in SQL, with the key bins left out.
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weight: Column | None = None, few: int = FEW, bits: int = DIGIT_BITS) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, source`` for every row of ``docs``, those that the mix leaves out with taken 0.
+
+    ``taken`` is the document's size times its number of epochs; documents are taken whole, and the last one of a source is
+    taken if that brings the source nearer to its target. ``weight`` is a column of positive quality weights; without one the
+    share of symbol characters gives it. Null and empty texts have size 0 and very long ones their whole size; null sources
+    are one source that comes last; ties of keys go by id; rows without an id draw by their text; repeated rows draw equal
+    keys and are taken one by one; an empty table gives an empty result; other columns, of whatever name, are ignored. The
+    draw depends on ``seed`` and the id (or text) alone, so reruns agree.
+    """
+    return _mixed(docs, weights, share, most, seed, id_col, source_col, text_col, weight, few, bits, False).drop("times")
+
+
+def mix_rows(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weight: Column | None = None) -> DataFrame:
+    """The rows of ``docs`` with their columns, each as often as :func:`mix` takes it; texts of size 0 are never taken.
+
+    Rows carry their columns along and are not found again by their ids, so null and repeated ids are rows like others.
+    """
+    d = _mixed(docs, weights, share, most, seed, id_col, source_col, text_col, weight, FEW, DIGIT_BITS, True)
+    d = d.where("taken > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return d.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+#: The same in SQL, with the digits of the keys left out.
 ORACLE = """
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
   greatest(0.1, 1.0::DOUBLE - 5.0::DOUBLE * (length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#*$%&|<>!', '')))::DOUBLE / greatest(length(coalesce(text, '')), 1)::DOUBLE) AS weight,
-  ((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT)::DOUBLE + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u FROM documents),
+  ((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 13))::BIGINT)::DOUBLE + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u FROM documents),
 k AS (SELECT *, -ln(u) / weight AS key FROM d),
 s AS (SELECT source, sum(size)::DOUBLE AS source_size FROM k GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS rank FROM s),

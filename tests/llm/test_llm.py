@@ -59,8 +59,8 @@ def test_exact_groups_and_byte_check(spark):
 def test_mix_meets_targets(spark):
     rng = random.Random(2)
     rows = [(i, rand_text(rng, rng.randint(1, 60)), f"s{min(i % 9, 4)}") for i in range(3000)]
-    got = mixing.mix(frame(spark, rows), bins=16).collect()
-    again = mixing.mix(frame(spark, rows).repartition(3), bins=64).collect()
+    got = mixing.mix(frame(spark, rows), few=5, bits=4).collect()
+    again = mixing.mix(frame(spark, rows).repartition(3)).collect()
     assert {r["doc_id"]: r["taken"] for r in got} == {r["doc_id"]: r["taken"] for r in again}
     by = collections.defaultdict(list)
     for r in got:
