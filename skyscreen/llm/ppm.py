@@ -5,15 +5,17 @@ and the escape to the next shorter context distinct / (2 total); bytes that the
 (escape method D). What escapes from the empty context is shared evenly by the bytes that no training text has.
 
 :class:`Trie` does this for one text after another, adaptively or as trained. :func:`score_documents` does it for a corpus:
-the trie's leaves are the counts of all six-byte strings, from which all shorter contexts follow by summing. Blocks of
-documents send their distinct strings, with counts from training documents, to shards by the last two context bytes; a shard
-holds all contexts that end so, adds the counts up and sends back the log-probability of every string that a block asked
-for. Words take the same way for the unigram baseline. Only the table of byte pairs, 65,536 at most, is sent to all.
+the trie's leaves are the counts of all six-byte strings, from which contexts of three to five bytes follow by summing. Blocks
+of documents send their distinct strings, with counts from training documents, to shards by the last three context bytes; a
+shard holds all contexts that end so, adds the counts up, scores every different string once and sends back what each block
+asked for. Shorter contexts are summed on their own, as strings of three bytes, of which there are 2^24 at most; they are sent
+to all shards. Words take the same way as strings for the unigram baseline.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -27,6 +29,8 @@ from .common import crc_mod, stored
 from .hashing import IntTable
 
 ORDER = 5
+#: Context bytes by which strings are dealt; shorter contexts are summed over the whole corpus.
+SHALLOW = 3
 _END = b"\n"
 _PAD = _END * ORDER
 #: Bytes of text that a block aims at, and positions that are worked on at once.
@@ -113,43 +117,53 @@ def add_up(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 class Level:
-    """Contexts of one length and their symbols: sums for each context, and lookups for strings (context, symbol)."""
+    """Contexts of one length and their symbols: sums for each context, and counts of strings (context, symbol)."""
 
-    def __init__(self, strings: np.ndarray, counts: np.ndarray):
+    def __init__(self, strings: np.ndarray, counts: np.ndarray, shorter: Level | None = None, bytes_: int = 0):
         self.strings, self.counts = strings, counts  # strings are in order, so a context's symbols stand together
         context = strings >> 8
         first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if len(context) else np.zeros(0, np.int64)
-        self.first, self.contexts = first, context[first]
-        self.total = np.add.reduceat(counts, first) if len(first) else counts
-        self.distinct = np.diff(first, append=len(context))
+        self.contexts, self.distinct = context[first], np.diff(first, append=len(context))
+        add = lambda x: np.add.reduceat(x, first) if len(first) else x
+        self.total = add(counts)
+        # what a context's symbols count in the next shorter context: they are excluded there
+        self.below = add(shorter.count(strings & ((1 << 8 * bytes_) - 1))) if shorter else self.total
 
     def count(self, strings: np.ndarray) -> np.ndarray:
-        return _find(self.strings, strings, self.counts)
+        at, hit = _find(self.strings, strings)
+        return np.where(hit, self.counts[at], 0) if len(self.counts) else np.zeros(len(strings), np.int64)
 
-    def below(self, counts: np.ndarray) -> np.ndarray:
-        """For each context the sum of what its symbols count in the next shorter context; ``counts`` has that by string."""
-        return np.add.reduceat(counts, self.first) if len(self.first) else counts
 
-
-def _find(keys: np.ndarray, wanted: np.ndarray, values: np.ndarray) -> np.ndarray:
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, whether it is there) of each wanted key."""
     if not len(keys):
-        return np.zeros(len(wanted), values.dtype)
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], 0)
+    return at, keys[at] == wanted
+
+
+def shallow_levels(triples: np.ndarray, counts: np.ndarray) -> list[Level]:
+    """Levels 0 to ``SHALLOW - 1`` from strings of ``SHALLOW`` bytes over the whole corpus."""
+    sums = [(triples, counts)]
+    for k in range(SHALLOW - 1, 0, -1):
+        sums.append(add_up([sums[-1][0] & ((1 << 8 * k) - 1)], [sums[-1][1]]))
+    out: list[Level] = []
+    for k, (code, n) in enumerate(reversed(sums)):
+        out.append(Level(code, n, out[-1] if out else None, k))
+    return out
 
 
-def levels_of(strings: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> list[Level]:
-    """Levels 0 to ``ORDER`` from six-byte strings; ``pairs`` counts (context byte, symbol) over the whole corpus."""
-    out, some = [], counts > 0
+def levels_of(strings: np.ndarray, counts: np.ndarray, shallow: list[Level]) -> list[Level]:
+    """Levels 0 to ``ORDER`` from six-byte strings, those below ``SHALLOW`` from sums over the whole corpus."""
+    some, sums = counts > 0, []
     code, n = strings[some], counts[some]
-    for k in range(ORDER, 1, -1):
-        out.append(Level(code, n))
+    for k in range(ORDER, SHALLOW - 1, -1):
+        sums.append((code, n))
         code, n = add_up([code & ((1 << 8 * k) - 1)], [n])
-    flat = pairs.reshape(-1)
-    out.append(Level(np.flatnonzero(flat), flat[flat > 0]))
-    single = pairs.sum(0)
-    out.append(Level(np.flatnonzero(single), single[single > 0]))
-    return out[::-1]
+    out = list(shallow)
+    for k, (code, n) in enumerate(reversed(sums), SHALLOW):
+        out.append(Level(code, n, out[-1], k))
+    return out
 
 
 def log_probabilities(wanted: np.ndarray, levels: list[Level]) -> np.ndarray:
@@ -157,27 +171,56 @@ def log_probabilities(wanted: np.ndarray, levels: list[Level]) -> np.ndarray:
     out, open_ = np.zeros(len(wanted)), np.ones(len(wanted), bool)
     seen_distinct = np.zeros(len(wanted), np.int64)  # of the next longer context that was seen
     excluded = np.zeros(len(wanted), np.int64)  # what its symbols count at this level
-    for k in range(ORDER, -1, -1):
+    for k in range(len(levels) - 1, -1, -1):
         level = levels[k]
+        if not len(level.contexts):
+            continue
         string = wanted & ((1 << 8 * (k + 1)) - 1)
-        total, distinct = _find(level.contexts, string >> 8, level.total), _find(level.contexts, string >> 8, level.distinct)
-        rest, symbols, count = total - excluded, distinct - seen_distinct, level.count(string)
+        at, known = _find(level.contexts, string >> 8)
+        rest, symbols = np.where(known, level.total[at], 0) - excluded, np.where(known, level.distinct[at], 0) - seen_distinct
         here = open_ & (symbols > 0)
+        count = level.count(string)
         found = here & (count > 0)
         out[found] += np.log10((2 * count[found] - 1) / (2 * rest[found]))
         lost = here & ~found
         out[lost] += np.log10(symbols[lost] / (2 * rest[lost]))
         open_ &= ~found
-        seen_distinct = np.where(total > 0, distinct, seen_distinct)
-        if k:
-            shorter = levels[k - 1].count(level.strings & ((1 << 8 * k) - 1))
-            excluded = _find(level.contexts, string >> 8, level.below(shorter))
+        seen_distinct = np.where(known, level.distinct[at], seen_distinct)
+        excluded = np.where(known, level.below[at], 0)
     out[open_] -= np.log10(256 - seen_distinct[open_])
     return out
 
 
 def _shard_of(codes: np.ndarray, shards: int) -> np.ndarray:
-    return (((codes >> 8 & 0xFFFF) * 40503 + 12345) >> 4) % shards
+    """The shard of each string: by the last ``SHALLOW`` context bytes."""
+    context = (codes >> 8 & ((1 << 8 * SHALLOW) - 1)).astype(np.uint64)
+    return ((context * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % shards
+
+
+def count_short(streams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct strings of ``SHALLOW`` bytes in the streams, in order, and their counts; a string ends at a stream's byte."""
+    pad = _PAD[: SHALLOW - 1]
+    raw = np.frombuffer(b"".join(pad + s for s in streams), np.uint8)
+    used = np.flatnonzero(np.bincount(raw, minlength=256))
+    m, small = len(used), np.zeros(256, np.int64)
+    small[used] = np.arange(m)  # bytes that occur, numbered: the table of their strings is small
+    raw, ends = small[raw], np.cumsum([len(s) + len(pad) for s in streams])
+    real = np.ones(len(raw), bool)
+    real[(np.concatenate(([0], ends[:-1]))[:, None] + np.arange(len(pad))).ravel()] = False
+    code = np.zeros(len(raw) - len(pad), np.int64)
+    for j in range(SHALLOW):
+        code = code * m + raw[j : len(raw) - len(pad) + j]
+    code = code[real[len(pad) :]]
+    if m**SHALLOW <= 8 * _STEP:
+        counts = np.bincount(code, minlength=m**SHALLOW)
+        code = np.flatnonzero(counts)
+        counts = counts[code]
+    else:
+        code, counts = np.unique(code, return_counts=True)
+    out = np.zeros(len(code), np.int64)
+    for j in range(SHALLOW):
+        out |= used[code // m**j % m] << 8 * j
+    return out, counts
 
 
 def _parts(column: pa.ChunkedArray) -> Iterator[tuple[int, list[list[bytes]]]]:
@@ -197,6 +240,7 @@ def _parts(column: pa.ChunkedArray) -> Iterator[tuple[int, list[list[bytes]]]]:
 
 _ASK = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("is_word", pa.bool_()), ("keys", pa.binary()), ("counts", pa.binary())])
 _TELL = pa.schema([("block", pa.int32()), ("is_word", pa.bool_()), ("keys", pa.binary()), ("found", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
+_SHALLOW: dict = {}
 _DOC = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 _ddl = lambda schema: ", ".join(f"{f.name} {({pa.int32(): 'int', pa.int64(): 'long', pa.bool_(): 'boolean', pa.binary(): 'binary', pa.float64(): 'double'})[f.type]}" for f in schema)
 
@@ -219,34 +263,38 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str
 
     Learns from rows whose crc32(doc_id) mod 7 is not 2. Tokens are lower-case words and one end for each text; ``score`` is
     the model's log10 probability of the words with one space between two, and of the end. Null texts are empty: their
-    score is that of an end. Without training rows the base is that of no counts and the model even over 256 bytes. An
-    empty table gives an empty result; repeated rows score alike; other columns are ignored.
+    score is that of an end. Very long texts are read whole, by one task each. Null ids stay null and are one id for the
+    remainder; rows are dealt by id and text. Without training rows the base is that of no counts and the model even over 256
+    bytes. An empty table gives an empty result; repeated rows are learned one by one and score alike; other columns, of
+    whatever name, are ignored.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), (crc_mod(id_col, 7) == 2).alias("held_out"))
 
-    def pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, size = np.zeros(1 << 16, np.int64), 0
+    def short_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, counts, size = [], [], 0
         for batch in batches:
             held = batch.column(1).to_pylist()
-            for start in range(0, batch.num_rows, 512):
-                part = [stream(words_of(v.as_py())) for v in batch.column(0).slice(start, 512)]
+            for start, words in _parts(batch.column(0)):
+                part = [stream(w) for w in words]
                 size += sum(map(len, part))
-                raw = np.frombuffer(b"".join(_END + s for s, h in zip(part, held[start : start + 512], strict=True) if not h), np.uint8).astype(np.int64)
-                if len(raw):
-                    pair = raw[:-1] << 8 | raw[1:]
-                    sums += np.bincount(pair, minlength=1 << 16)
-                    # the join of two streams reads as end, end: no such byte was predicted
-                    sums[0x0A0A] -= sum(1 for s, h in zip(part, held[start : start + 512], strict=True) if not h) - 1
-        some = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int32()), pa.array(np.append(sums[some], size), pa.int64())], names=["pair", "n"])
-
-    got = source.select("text", "held_out").mapInArrow(pair_counts, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    size = int(got.loc[got["pair"] == -1, "n"].sum())
-    flat = np.zeros(1 << 16, np.int64)
-    flat[got.loc[got["pair"] >= 0, "pair"]] = got.loc[got["pair"] >= 0, "n"]
-    pairs = flat.reshape(256, 256)
+                learned = [s for s, h in zip(part, held[start:], strict=False) if not h]
+                if learned:
+                    code, n = count_short(learned)
+                    codes.append(code)
+                    counts.append(n)
+                if sum(map(len, codes)) > 1 << 20:
+                    codes, counts = ([x] for x in add_up(codes, counts))
+        code, n = add_up(codes, counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(code, -1), pa.int32()), pa.array(np.append(n, size), pa.int64())], names=["code", "n"])
+
+    # 2^24 codes at most, however large the corpus
+    got = source.select("text", "held_out").mapInArrow(short_counts, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toArrow()
+    short_code, short_n = got.column("code").to_numpy().astype(np.int64), got.column("n").to_numpy().astype(np.int64)
+    size, short_code, short_n = int(short_n[short_code == -1].sum()), short_code[short_code >= 0], short_n[short_code >= 0]
+    train_docs = int(short_n[short_code & 0xFF == _END[0]].sum())  # one end for each training text
+    key = uuid.uuid4().hex
     block_size = min(block_bytes, max(1 << 20, size // 12))
-    n_blocks, shards = max(1, math.ceil(size / block_size)), max(64, min(1 << 14, math.ceil(size / block_size)))
+    n_blocks, shards = max(1, math.ceil(size / block_size)), max(64, math.ceil(size / block_size))
     dealt = source.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int"))
 
     def ask(block: pa.Table) -> pa.Table:
@@ -280,10 +328,13 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str
         return _rows(rows, _ASK)
 
     def answer(asked: pa.Table) -> pa.Table:
+        if _SHALLOW.get("key") != key:
+            _SHALLOW.update(key=key, levels=shallow_levels(short_code, short_n))
         rows = list(zip(*[asked.column(c).to_pylist() for c in ("block", "is_word", "keys", "counts")], strict=True))
         strings = [(b, _codes(k), np.frombuffer(c, np.uint32).astype(np.int64)) for b, w, k, c in rows if not w]
-        levels = levels_of(*add_up([c for _, c, _ in strings], [n for _, _, n in strings]), pairs)
-        out = [(b, False, _deltas(c), log_probabilities(c, levels).astype(np.float32).tobytes(), 0, 0) for b, c, _ in strings]
+        every, n = add_up([c for _, c, _ in strings], [n for _, _, n in strings])
+        found = log_probabilities(every, levels_of(every, n, _SHALLOW["levels"])).astype(np.float32)
+        out = [(b, False, _deltas(c), found[np.searchsorted(every, c)].tobytes(), 0, 0) for b, c, _ in strings]
         total: dict[bytes, int] = {}
         texts = [(b, k.split(), np.frombuffer(c, np.uint32).tolist()) for b, w, k, c in rows if w]
         for _, some, counts in texts:
@@ -297,7 +348,6 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str
     asked = dealt.groupBy("block").applyInArrow(ask, _ddl(_ASK))
     told = stored(asked.groupBy("shard").applyInArrow(answer, _ddl(_TELL)), "ppm-answers")
     word_sums = told.where("block = -1").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
-    train_docs = int(pairs[:, 0x0A].sum())  # one end for each training text
     n_train, n_distinct = int(word_sums["n"] or 0) + train_docs, int(word_sums["v"] or 0) + (train_docs > 0)
     scale = math.log10(n_train + n_distinct + 1)
 
