@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, spread, stored, text_chunks
+from .common import crc_mod, give_back, spread, stored, text_chunks
 
 #: Weights of the model; its size bounds all that is broadcast.
 BUCKETS = 1 << 18
@@ -158,12 +158,19 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
                 row, bucket, value = features.of(texts)
                 logit = np.bincount(row, light[bucket] * value, len(texts)) + float(light[-1])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), pa.array(1 / (1 + np.exp(-np.clip(logit, -35, 35))))], names=["doc_id", "score"])
+        give_back()
 
     narrow = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     return narrow.mapInArrow(run, "doc_id long, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row of ``docs``; repeated rows score alike, other columns are ignored."""
+    """``doc_id, held_out, score, predicted`` of every row of ``docs``.
+
+    Null and empty texts score by the constant alone, very long ones are read whole; null ids stay null and have no label; of
+    labels that disagree on one id the lower counts, and repeated rows of it are each a row to learn from; rows that are equal
+    score alike, and a score of exactly 0.5 is predicted 1; without labelled rows every score is 0.5; an empty table gives an
+    empty result; other columns, of whatever name, are ignored.
+    """
     scored = score(docs, train(docs, labels, max_train))
     return scored.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, stored
+from .common import crc_mod, give_back, stored
 
 SYMBOLS = b"#*$%&|<>"
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -64,17 +64,24 @@ def statistics(text: str | None) -> tuple:
     return counts + (chars / m, symbols / m, dups / max(len(lines), 1), repeats / m, upper / max(upper + lower + high, 1), digits / max(chars, 1), punct / m, int(h[33]) / m, int(h[124]) / m, raw.count(b". ") / m, distinct / m, n / max(len(lines), 1))
 
 
-def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, the counts and the features of every row; null texts count as empty, other columns are ignored."""
+def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """``doc_id``, the counts and the features of every row, and all columns of the row as ``row`` if they are carried.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [(i, *statistics(v.as_py())) for i, v in zip(b.column(0).to_pylist(), b.column(1), strict=True)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
+    Null and empty texts have no words, very long ones are read whole; other columns, of whatever name, are ignored.
+    """
+    fields = list(_SCHEMA)[1:]
+    ddl = ", ".join([f"{c} long" for c in _COUNTS] + [f"{c} double" for c in FEATURES])
+
+    @F.arrow_udf(f"struct<{ddl.replace(' ', ':')}>".replace(",:", ","))
+    def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            columns = zip(*[statistics(v.as_py()) for v in batch], strict=True) if len(batch) else [[] for _ in fields]
+            yield pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], fields=fields)
+        give_back()
 
-    ddl = "doc_id long, " + ", ".join([f"{c} long" for c in _COUNTS] + [f"{c} double" for c in FEATURES])
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, ddl)
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *row)
+    return narrow.withColumn("s", of("text")).select("doc_id", "s.*", *(["row"] if carry else []))
 
 
 Condition = tuple[str, str, float]  # statistic, "<=" or ">", threshold
@@ -174,9 +181,21 @@ def fit(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> list
 def judge(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """``doc_id``, the counts, ``base_failed`` and ``kept``, then the features, for every row of ``docs``.
 
-    A row is kept if the base rules pass it and no learned rule rejects it. Null texts have no words and fail; an empty
-    table gives an empty result; repeated rows are judged alike.
+    A row is kept if the base rules pass it and no learned rule rejects it. Null and empty texts have no words and fail; very
+    long ones are read whole; null ids stay null and carry no label; repeated rows are judged alike, a result row each; equal
+    values of a statistic are never cut apart, and of conditions that gain the same the first statistic's stays; an empty
+    table gives an empty result; without labels only the base rules judge; other columns, of whatever name, are ignored.
     """
     stats = stored(text_statistics(docs), "quality-stats")
     rules = fit(stats, labels, max_train)
     return stats.select("doc_id", *_COUNTS, base_failed().alias("base_failed"), (~base_failed() & expression(rules)).alias("kept"), *FEATURES)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps, with their columns.
+
+    Rows carry their columns along and are not found again by their ids, so null and repeated ids are judged row by row.
+    """
+    stats = stored(text_statistics(docs, carry=True), "quality-stats")
+    rules = fit(stats, labels, max_train)
+    return stats.where(~base_failed() & expression(rules)).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
