@@ -5,10 +5,14 @@ functions; bands of minima give the buckets in which candidates meet, and the lo
 longs, give an estimate of the similarity, corrected for chance equality of the bits.
 
 Candidates are not paired all with all. First every member of a bucket meets the bucket's first document; pairs whose
-estimate is well below the threshold are left out, the others are compared on their full sets. Buckets whose members still
-carry different labels are then settled block by block: two blocks of at most some hundred members meet in one task, which
-counts all their intersections at once and returns only the links that join what was apart. So no link between components
-is lost, and what is emitted grows with the members, not with their pairs.
+estimate is well below the threshold are left out, the others are compared on their full sets, and their links give labels to
+whole components. Buckets whose members still carry different labels are open. There, blocks of members meet by their packed
+signatures alone, which shows who may be linked with a document of another label; only such members' full sets are then
+compared, block by block: a task counts the intersections of two blocks and returns only the links that join what was apart.
+So no link between components is lost, and links emitted grow with the members, not with their pairs. What is sent to the
+tasks is members * blocks: 52 bytes a member for each 4,096 members of an open bucket, and the full sets of those who may be
+linked for each 2,048 of them. The time for comparing within an open bucket grows with the square of its members, as the
+comparison is exact.
 """
 
 from __future__ import annotations
@@ -20,15 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import spread, stored, text_chunks
+from .common import WORD, give_back, scratch, spread, stored, text_chunks
 from .components import connected_components
 
 #: Minima of a document and the bits kept of each: 128 * 2 bits fill four longs.
 MINIMA, BITS = 128, 2
 #: How far an estimate may lie below the threshold before the pair is left out: over five standard deviations.
 MARGIN = 0.2
-#: Members and shingles of a block, at most about.
-BLOCK_MEMBERS, BLOCK_SHINGLES = 384, 400_000
+#: Members of a block that meets others by signatures, and members and shingles of one that does so by full sets, about.
+BLOCK_SIGNATURES, BLOCK_MEMBERS, BLOCK_SHINGLES = 4096, 2048, 1_000_000
 _LAST = (1 << 63) - 1
 _U = np.uint64
 
@@ -136,11 +140,11 @@ def estimate(a: Column, b: Column) -> Column:
     return (F.lit(1.0) - unlike / F.lit(float(MINIMA)) - F.lit(chance)) / F.lit(1 - chance)
 
 
-_SIG = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sig", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))])
+_SIG = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sig", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))])
 
 
 def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n_shingles, digest, sig, bands`` of every row of (doc_id, text); the last three null for empty sets."""
+    """``doc_id, h, n_shingles, digest, sig, bands`` of every row of (doc_id, h, text); the last three null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -157,13 +161,17 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                 for at, i in enumerate(some.tolist()):
                     digests[i] = hashlib.blake2b(shingles[ends[i] - sizes[i] : ends[i]].tobytes(), digest_size=16).digest()
                     sigs[i], lists[i] = packed[at], keys[at]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), pa.array(sizes, pa.int64()), *(pa.array(x, f.type) for x, f in zip((digests, sigs, lists), list(_SIG)[2:], strict=True))], schema=_SIG)
+                yield pa.RecordBatch.from_arrays([*(c.slice(start, len(texts)) for c in batch.columns[:2]), pa.array(sizes, pa.int64()), *(pa.array(x, f.type) for x, f in zip((digests, sigs, lists), list(_SIG)[3:], strict=True))], schema=_SIG)
+        give_back()
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sig array<long>, bands array<long>")
+    return docs.select("doc_id", "h", "text").mapInArrow(run, "doc_id long, h long, n_shingles long, digest binary, sig array<long>, bands array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``digest, shingles`` of the classes in ``wanted`` (rep, digest), from the texts of their representatives."""
+    """``digest, shingles`` of the classes in ``wanted`` (rep, digest), from the texts of their representatives.
+
+    A representative is an id and a hash of its text, so rows without an id don't meet under one key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -177,10 +185,33 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 parts = [shingles[e - s : e] for s, e in zip(sizes.tolist(), ends, strict=True)]
                 good = [i for i, p in enumerate(parts) if hashlib.blake2b(p.tobytes(), digest_size=16).digest() == want[start + i]]
                 yield pa.RecordBatch.from_arrays([pa.array([want[start + i] for i in good], pa.binary()), pa.array([parts[i].view(np.int64) for i in good], pa.list_(pa.int64()))], names=["digest", "shingles"])
+        give_back()
+
+    text = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "h", "text")
+    rows = text.join(wanted.select("rep.id", "rep.h", "digest"), ["id", "h"]).select("digest", "text").mapInArrow(run, "digest binary, shingles array<long>")
+    return rows.groupBy("digest").agg(F.first("shingles").alias("shingles"))  # rows may repeat
+
+
+def _may_link(percent: int):
+    """For one pair of blocks: the members whose signatures allow a link with a member of another label in the other block."""
 
-    text = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("rep"), "text")
-    rows = text.join(wanted, "rep").select("digest", "text").mapInArrow(run, "digest binary, shingles array<long>")
-    return rows.groupBy("digest").agg(F.first("shingles").alias("shingles"))  # ids may repeat
+    def run(group: pa.Table) -> pa.Table:
+        block, label = np.array(group.column("block").to_pylist()), np.unique(np.array([x.hex() for x in group.column("label").to_pylist()]), return_inverse=True)[1]
+        sig = group.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, MINIMA * BITS // 64)
+        # estimate >= threshold - margin, as a number of minima that differ
+        most = int(MINIMA * (1 - 1 / (1 << BITS)) * (1 - (percent / 100 - MARGIN)) + 1e-9)
+        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        hit, theirs = np.zeros(len(block), bool), sig[right]
+        for at in range(0, len(left), 32):
+            part = left[at : at + 32]
+            x = sig[part][:, None, :] ^ theirs[None, :, :]
+            unlike = np.bitwise_count((x | x >> _U(1)) & _U(0x5555555555555555)).sum(2)
+            near = (unlike <= most) & (label[part][:, None] != label[right][None, :])
+            hit[part] |= near.any(1)
+            hit[right] |= near.any(0)
+        return group.filter(pa.array(hit)).select(["bucket", "digest"])
+
+    return run
 
 
 def _settle(percent: int):
@@ -189,82 +220,118 @@ def _settle(percent: int):
     def run(group: pa.Table) -> pa.Table:
         digests, block = group.column("digest").to_pylist(), np.array(group.column("block").to_pylist())
         label = np.unique(np.array([x.hex() for x in group.column("label").to_pylist()]), return_inverse=True)[1]
-        sets = [np.asarray(x.values) for x in group.column("shingles")]
-        m, sizes = len(sets), np.array([len(s) for s in sets])
-        _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        column = group.column("shingles").combine_chunks()
+        sizes = column.value_lengths().to_numpy().astype(np.int64)
+        _, code, times = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
         shared = np.cumsum(times > 1) - 1
-        owner, keep = np.repeat(np.arange(m), sizes), times[code] > 1
+        owner, keep = np.repeat(np.arange(len(sizes)), sizes), times[code] > 1
         owner, column = owner[keep], shared[code[keep]]
         order = np.argsort(column, kind="stable")
         owner, column = owner[order], column[order]
-        both, width = np.zeros((m, m), np.float32), 4096
+        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        both, width = np.zeros((len(left), len(right)), np.int32), 2048
         for tile in range(0, int(column[-1]) + 1 if len(column) else 0, width):
             a, b = np.searchsorted(column, (tile, tile + width))
-            dense = np.zeros((m, width), np.float32)
+            dense = np.zeros((len(sizes), width), np.float32)
             dense[owner[a:b], column[a:b] - tile] = 1
-            both += dense @ dense.T
-        link = 100 * both >= percent * (sizes[:, None] + sizes - both)
-        if block.min() != block.max():
-            link &= block[:, None] != block
+            both += (dense[left] @ dense[right].T).astype(np.int32)
         out = []
-        for i in np.flatnonzero((link & (label[:, None] != label)).any(1)).tolist():
-            for j in np.flatnonzero(link[i] & (label != label[i])).tolist():
-                if label[j] != label[i]:
-                    out.append((digests[i], digests[j]))
-                    label[label == label[j]] = label[i]
+        for i, x in enumerate(left.tolist()):
+            common = both[i].astype(np.int64)
+            link = right[100 * common >= percent * (sizes[x] + sizes[right] - common)]
+            for y in link[label[link] != label[x]].tolist():
+                if label[y] != label[x]:
+                    out.append((digests[x], digests[y]))
+                    label[label == label[y]] = label[x]
         return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([x for _, x in out], pa.binary())})
 
     return run
 
 
+def _in_blocks(members: DataFrame, blocks: Column) -> DataFrame:
+    """Every member once for each block of its bucket: ``lo, hi`` is the pair of blocks that meet, ``block`` the member's own."""
+    d = members.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    return d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("blocks", "other")
+
+
+def _classes(source: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows of (doc_id, h, text), and ``digest, rep, component`` of every class, both stored: ``rep`` is
+    the least (id, hash) of a class, ``component`` that of all classes that links lead to."""
+    bands, rows = bands_for(percent / 100)
+    sigs = stored(signatures(spread(source), k, bands, rows), "minhash-sigs")
+    with scratch(source.sparkSession) as block:
+        some = sigs.where("digest is not null")
+        rep = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "h")
+        classes = some.groupBy("digest").agg(F.min(rep).alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+        classes = stored(classes, "minhash-classes")
+        placed = classes.select("digest", "rep", "n", F.explode("bands").alias("bucket"))
+        heads = placed.groupBy("bucket").agg(F.count("*").alias("members"), F.min(F.struct("rep", "digest")).alias("head")).where("members > 1")
+        heads = stored(heads, "minhash-heads")  # here and below: stored, so that the join can split a hot key
+        buckets = stored(placed.join(heads, "bucket").select("bucket", "digest", "n", "members", F.col("head.digest").alias("head")), "minhash-buckets")
+        # stars: every member against the first of its bucket
+        pairs = buckets.where("digest <> head").select(F.col("digest").alias("a"), F.col("head").alias("b")).distinct()
+        sig = lambda c: classes.select(F.col("digest").alias(c), F.col("sig").alias(f"sig_{c}"))
+        near = stored(pairs.join(sig("a"), "a").join(sig("b"), "b").where(estimate(F.col("sig_a"), F.col("sig_b")) >= percent / 100 - MARGIN).select("a", "b"), "minhash-pairs")
+        wanted = near.select(F.col("a").alias("digest")).unionByName(near.select(F.col("b").alias("digest"))).unionByName(buckets.where("members > 2").select("digest")).distinct()
+        sets = stored(full_sets(source, classes.select("digest", "rep").join(wanted, "digest", "left_semi"), k), "minhash-sets")
+        own = lambda c: sets.select(F.col("digest").alias(c), F.col("shingles").alias(f"set_{c}"))
+        common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
+        stars = near.join(own("a"), "a").join(own("b"), "b").withColumn("both", common).where(100 * F.col("both") >= percent * (F.size("set_a") + F.size("set_b") - F.col("both"))).select("a", "b")
+        stars = stored(stars, "minhash-stars")
+        comps = stored(connected_components(stars), "minhash-labels")
+        members = buckets.where("members > 2").join(comps.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+        members = stored(members.select("bucket", "digest", "n", "members", "label"), "minhash-members")
+        same = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("who"), F.max("members").alias("members"))
+        open_ = same.where("lo <> hi").groupBy("members", "who").agg(F.min("bucket").alias("bucket")).select("bucket")  # equal buckets once
+        open_ = stored(open_, "minhash-open")
+        if not open_.isEmpty():
+            members = members.join(open_, "bucket", "left_semi")
+            by_sig = _in_blocks(members, F.ceil(F.col("members") / BLOCK_SIGNATURES)).join(classes.select("digest", "sig"), "digest")
+            may = by_sig.select("bucket", "lo", "hi", "digest", "label", "block", "sig").groupBy("bucket", "lo", "hi").applyInArrow(_may_link(percent), "bucket long, digest binary")
+            may = stored(members.join(may.distinct(), ["bucket", "digest"], "left_semi").select("bucket", "digest", "n", "label"), "minhash-may")
+            sizes = stored(may.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("n").alias("weight")), "minhash-sizes")
+            blocks = F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("weight") / BLOCK_SHINGLES))
+            by_set = _in_blocks(may.join(sizes, "bucket"), blocks).join(sets, "digest")
+            settled = by_set.select("bucket", "lo", "hi", "digest", "label", "block", "shingles").groupBy("bucket", "lo", "hi").applyInArrow(_settle(percent), "a binary, b binary")
+            comps = connected_components(stars.unionByName(stored(settled, "minhash-settled")))
+        least = stored(comps.join(classes.select(F.col("digest").alias("node"), "rep"), "node"), "minhash-reps")
+        top = stored(least.groupBy("label").agg(F.min("rep").alias("component")), "minhash-tops")
+        joined = least.join(top, "label").select(F.col("node").alias("digest"), "component")
+        whole = classes.select("digest", "rep").join(joined, "digest", "left").select("digest", "rep", F.coalesce("component", "rep").alias("component"))
+        whole = block.keep(stored(whole, "minhash-components"))
+    return sigs, whole
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row.
 
     Two documents are linked if 100 * intersection >= ``percent`` * union of their sets of ``k``-word shingles; a text of
-    fewer words is one shingle, and a text without words (or null) is empty and linked with nothing. ``component_id`` is the
-    smallest id that links lead to, null ids last; ``kept`` marks the rows that have it. An empty table gives an empty
-    result; rows that repeat an id and a text are kept or dropped together; other columns are ignored. A linked pair fails
-    to meet in any bucket with a chance of 1e-6 at most.
+    fewer words is one shingle, and a text without words (or null) is empty and linked with nothing; very long texts are read
+    whole. ``component_id`` is the smallest id that links lead to, null ids last; ``kept`` marks the rows that have it. An
+    empty table gives an empty result; rows that repeat an id and a text are kept or dropped together; other columns, of
+    whatever name, are ignored. A linked pair fails to meet in any bucket with a chance of 1e-6 at most.
     """
-    bands, rows = bands_for(percent / 100)
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sigs = stored(signatures(spread(source), k, bands, rows), "minhash-sigs")
-    some = sigs.where("digest is not null")
-    classes = some.groupBy("digest").agg(F.min(F.coalesce("doc_id", F.lit(_LAST))).alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-    classes = stored(classes, "minhash-classes")
-    placed = classes.select("digest", "rep", "n", F.explode("bands").alias("bucket"))
-    heads = placed.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("n").alias("weight"), F.min(F.struct("rep", "digest")).alias("head")).where("members > 1")
-    heads = stored(heads, "minhash-heads")  # here and below: stored, so that the join can split a hot key
-    buckets = stored(placed.join(heads, "bucket").select("bucket", "digest", "rep", "members", "weight", F.col("head.digest").alias("head")), "minhash-buckets")
-    # stars: every member against the first of its bucket
-    pairs = buckets.where("digest <> head").select(F.col("digest").alias("a"), F.col("head").alias("b")).distinct()
-    sig = lambda c: classes.select(F.col("digest").alias(c), F.col("sig").alias(f"sig_{c}"))
-    near = stored(pairs.join(sig("a"), "a").join(sig("b"), "b").where(estimate(F.col("sig_a"), F.col("sig_b")) >= percent / 100 - MARGIN).select("a", "b"), "minhash-pairs")
-    wanted = near.select(F.col("a").alias("digest")).unionByName(near.select(F.col("b").alias("digest"))).unionByName(buckets.where("members > 2").select("digest")).distinct()
-    sets = stored(full_sets(source, classes.select("digest", "rep").join(wanted, "digest", "left_semi"), k), "minhash-sets")
-    own = lambda c: sets.select(F.col("digest").alias(c), F.col("shingles").alias(f"set_{c}"))
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    stars = near.join(own("a"), "a").join(own("b"), "b").withColumn("both", common).where(100 * F.col("both") >= percent * (F.size("set_a") + F.size("set_b") - F.col("both"))).select("a", "b")
-    stars = stored(stars, "minhash-stars")
-    # labels so far: the least head that a document is linked with, a head's own label if it was linked itself
-    linked = stars.groupBy(F.col("a").alias("digest")).agg(F.min("b").alias("to"))
-    heads_to = linked.select(F.col("digest").alias("to"), F.col("to").alias("up"))
-    labels = linked.join(heads_to, "to", "left").select("digest", F.coalesce("up", "to").alias("label"))
-    members = buckets.where("members > 2").join(labels, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-    members = stored(members.select("bucket", "digest", "members", "weight", "label"), "minhash-members")
-    same = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("who"), F.max("members").alias("members"))
-    open_ = same.where("lo <> hi").groupBy("members", "who").agg(F.min("bucket").alias("bucket")).select("bucket")  # equal buckets once
-    open_ = stored(open_, "minhash-open")
-    blocks = F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
-    dealt = members.join(open_, "bucket", "left_semi").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-    settled = dealt.join(sets, "digest").select("bucket", "lo", "hi", "digest", "label", "block", "shingles").groupBy("bucket", "lo", "hi").applyInArrow(_settle(percent), "a binary, b binary")
-    comps = connected_components(stars.unionByName(settled))
-    least = comps.join(classes.select(F.col("digest").alias("node"), "rep"), "node")
-    top = least.groupBy("label").agg(F.min("rep").alias("component"))
-    joined = least.join(top, "label").select(F.col("node").alias("digest"), "component")
-    whole = classes.select("digest", "rep").join(joined, "digest", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    whole = stored(whole, "minhash-components")
-    whole = sigs.select("doc_id", "n_shingles", "digest").join(whole, "digest", "left")
+    sigs, whole = _classes(_source(docs, id_col, text_col), k, percent)
+    whole = sigs.select("doc_id", "n_shingles", "digest").join(whole.select("digest", F.col("component.id").alias("component")), "digest", "left")
     component = F.when(F.col("component") == _LAST, F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     return whole.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each group that :func:`near_duplicates` links, with its columns: that of the smallest id.
+
+    Null ids come last, a hash of the text decides between texts of one id, and rows that repeat an id and a text are one
+    document, of which one row stays. Texts without words are linked with nothing and stay.
+    """
+    _, whole = _classes(_source(docs, id_col, text_col), k, percent)
+    first = whole.where("rep = component").select(F.col("rep.id").alias("_nd_id"), F.col("rep.h").alias("_nd_h"), F.lit(True).alias("_nd_first"))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("_nd_id"), F.xxhash64(text).alias("_nd_h"), F.coalesce(~text.rlike(WORD), F.lit(True)).alias("_nd_empty"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_nd_row"))
+    rows = rows.groupBy("_nd_id", "_nd_h").agg(F.first("_nd_row").alias("_nd_row"), F.first("_nd_empty").alias("_nd_empty"))
+    kept = rows.join(first.hint("merge"), ["_nd_id", "_nd_h"], "left").where("_nd_first or _nd_empty")
+    return kept.select(*[F.col("_nd_row").getField(c).alias(c) for c in docs.columns])
