@@ -23,7 +23,7 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    return warc.page_derivatives(table(spark, sf_dir, "pages"))
 
 
 def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ import io
 import os
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -28,6 +29,8 @@ from .common import spread
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace
 _BLOCKS = frozenset("address article aside blockquote br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul title option".split())
 _SILENT = frozenset("script style noscript template svg head".split())
+#: Bytes of records and texts that a worker hands over at once.
+BATCH_BYTES = 2 << 20
 _SPACES = re.compile(r"[^\S\n]+")
 
 
@@ -46,22 +49,30 @@ def build_record(headers: list[tuple[str, str]], block: bytes) -> bytes:
 
 
 def parse_records(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
-    """(headers, block) of each record of a file, plain or of gzip members; ends at what isn't a whole record."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    at = 0
-    while data.startswith(b"WARC/", at):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0:
+    """(headers, block) of each record of a file, plain or of gzip members; ends at what isn't a whole record.
+
+    Members are unpacked as they are read, so no more than one record is held beside the file's own bytes.
+    """
+    raw = io.BytesIO(data)
+    file = gzip.GzipFile(fileobj=raw) if data[:2] == b"\x1f\x8b" else raw
+    while True:
+        try:
+            line = file.readline()
+            while line in (b"\r\n", b"\n"):  # the two line ends after a block
+                line = file.readline()
+            if not line.startswith(b"WARC/"):
+                return
+            headers = []
+            while (line := file.readline()) not in (b"\r\n", b"\n", b""):
+                k, _, v = line.decode("utf-8", "surrogateescape").partition(":")
+                headers.append((k.strip(), v.strip()))
+            size = int(dict((k.lower(), v) for k, v in headers).get("content-length", "0"))
+            block = file.read(size) if size >= 0 else b""
+        except (EOFError, OSError, ValueError, zlib.error):  # a member or a length that is broken
             return
-        lines = data[at:end].decode("utf-8", "surrogateescape").split("\r\n")[1:]
-        headers = [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines)]
-        size = int(dict((k.lower(), v) for k, v in headers).get("content-length", "0"))
-        block = data[end + 4 : end + 4 + size]
-        if len(block) < size:
+        if not line or len(block) < size:
             return
         yield headers, block
-        at = end + 4 + size + 4
 
 
 def response_record(key: str, url: str, payload: bytes, date: str, http_headers: list[tuple[str, str]]) -> bytes:
@@ -72,17 +83,21 @@ def response_record(key: str, url: str, payload: bytes, date: str, http_headers:
 
 
 class _Page(HTMLParser):
+    """Collects text, title and links. What stands in a silent element is dropped when that ends, or when the body begins;
+    an element that never ends silences nothing, scripts and styles apart."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.parts, self.links, self.title, self.silent, self.in_title = [], [], [], 0, False
+        self.parts, self.links, self.title, self.open, self.in_title = [], [], [], [], False
 
     def handle_starttag(self, tag, attrs):
+        if tag == "body" and self.open:  # the head's end tag may be missing
+            del self.parts[self.open[0][1] :]
+            self.open = []
         if tag in _SILENT:
-            self.silent += 1
+            self.open.append((tag, len(self.parts)))
         if tag == "title":
             self.in_title = True
-        if tag == "body":  # the head's end tag may be missing
-            self.silent = 0
         if tag in _BLOCKS:
             self.parts.append("\n")
         if tag in ("a", "area") and (href := dict(attrs).get("href")):
@@ -93,18 +108,24 @@ class _Page(HTMLParser):
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if tag in _SILENT:
-            self.silent = max(0, self.silent - 1)
+        at = max((i for i, (name, _) in enumerate(self.open) if name == tag), default=None)
+        if at is not None:
+            del self.parts[self.open[at][1] :]
+            del self.open[at:]
         if tag == "title":
             self.in_title = False
         if tag in _BLOCKS:
             self.parts.append("\n")
 
     def handle_data(self, data):
-        if self.in_title:
-            self.title.append(data)
-        elif not self.silent:
-            self.parts.append(data)
+        (self.title if self.in_title else self.parts).append(data)
+
+    def close(self):
+        super().close()
+        for name, start in self.open:
+            if name in ("script", "style"):
+                del self.parts[start:]
+                break
 
 
 def page_text(html: str, url: str = "") -> tuple[str, str, list[str]]:
@@ -158,39 +179,71 @@ def derive(record: bytes) -> list[dict]:
     return out
 
 
-def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``page_id, record``: every page as a response record. Null pages have an empty payload, null addresses are empty."""
+_HTTP = [("Content-Type", "text/html; charset=UTF-8")]
+_FIELDS = pa.schema([("page_id", pa.int64()), *[(n, pa.string()) for n in ("record_type", "record_id", "refers_to", "target_uri", "date", "source_digest")], ("source_intact", pa.bool_()), ("block_digest", pa.string()), ("content_length", pa.int64()), ("n_links", pa.int64()), ("body", pa.string()), ("record", pa.binary())])
+_RESPONSE = pa.schema([("page_id", pa.int64()), ("record", pa.binary())])
+_KINDS = {pa.int64(): "long", pa.string(): "string", pa.bool_(): "boolean", pa.binary(): "binary"}
+_DDL = ", ".join(f"{f.name} {_KINDS[f.type]}" for f in _FIELDS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        http = [("Content-Type", "text/html; charset=UTF-8")]
-        for b in batches:
-            rows = zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True)
-            made = [response_record("" if i is None else str(i), u or "", (x.as_py() or "").encode("utf-8", "surrogatepass"), date, http) for i, u, x in rows]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], names=["page_id", "record"])
 
-    narrow = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return spread(narrow, "page_id").mapInArrow(run, "page_id long, record binary")
+def _batches(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows as batches that hold about ``BATCH_BYTES`` each, or one row that is longer."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row["record"]) + len(row.get("body", "")) + 400
+        if size >= BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
-_FIELDS = pa.schema([("page_id", pa.int64()), *[(n, pa.string()) for n in ("record_type", "record_id", "refers_to", "target_uri", "date", "source_digest")], ("source_intact", pa.bool_()), ("block_digest", pa.string()), ("content_length", pa.int64()), ("n_links", pa.int64()), ("body", pa.string()), ("record", pa.binary())])
+def _page_responses(batch: pa.RecordBatch, date: str) -> Iterator[tuple[int | None, bytes]]:
+    for i, u, x in zip(*batch.columns, strict=True):
+        key = i.as_py()
+        yield key, response_record("" if key is None else str(key), u.as_py() or "", (x.as_py() or "").encode("utf-8", "surrogatepass"), date, _HTTP)
+
+
+def _narrow(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    return spread(pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html")))
+
+
+def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``page_id, record``: every page as a response record.
+
+    Null and empty pages have an empty payload, null addresses are empty, null ids are empty in the record's name. Pages of
+    any length are one record; repeated rows give equal records; an empty table gives an empty result; other columns, of
+    whatever name, are ignored.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches(({"page_id": i, "record": r} for b in batches for i, r in _page_responses(b, date)), _RESPONSE)
+
+    return _narrow(pages, id_col, url_col, html_col).mapInArrow(run, "page_id long, record binary")
 
 
 def derivatives(records: DataFrame) -> DataFrame:
     """Two rows, metadata and conversion, for every response in the ``record`` of (page_id, record).
 
-    ``source_intact`` tells whether the payload has the digest that its response names. Null and broken records and those of
-    other types give no row; repeated responses give equal records; an empty table gives an empty result.
+    ``source_intact`` tells whether the payload has the digest that its response names. Null, empty and broken records and
+    those of other types give no row; records of any length are read whole; repeated responses give equal records; an empty
+    table gives an empty result; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for start in range(0, b.num_rows, 256):
-                part = b.slice(start, 256)
-                rows = [{"page_id": i, **d} for i, r in zip(part.column(0).to_pylist(), part.column(1), strict=True) for d in derive(r.as_py() or b"")]
-                yield pa.RecordBatch.from_pylist(rows, schema=_FIELDS)
+        yield from _batches(({"page_id": i.as_py(), **d} for b in batches for i, r in zip(*b.columns, strict=True) for d in derive(r.as_py() or b"")), _FIELDS)
+
+    return records.select("page_id", "record").mapInArrow(run, _DDL)
 
-    kinds = {pa.int64(): "long", pa.string(): "string", pa.bool_(): "boolean", pa.binary(): "binary"}
-    return records.select("page_id", "record").mapInArrow(run, ", ".join(f"{f.name} {kinds[f.type]}" for f in _FIELDS))
+
+def page_derivatives(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``derivatives(responses(pages))`` in one pass: a task has one Python worker, and no record travels between two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches(({"page_id": i, **d} for b in batches for i, r in _page_responses(b, date) for d in derive(r)), _FIELDS)
+
+    return _narrow(pages, id_col, url_col, html_col).mapInArrow(run, _DDL)
 
 
 def write_warc(records: DataFrame, folder: str) -> int:
@@ -224,13 +277,11 @@ def write_warc(records: DataFrame, folder: str) -> int:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """``page_id`` (null) and ``record`` of every record in .warc and .warc.gz files, through Spark's own file reader."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for b in batches:
             for raw in b.column(0):
-                made = [build_record([x for x in headers if x[0].lower() != "content-length"], block) for headers, block in parse_records(raw.as_py())]
-                for start in range(0, len(made), 1024):
-                    part = made[start : start + 1024]
-                    yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.int64()), pa.array(part, pa.binary())], names=["page_id", "record"])
+                for headers, block in parse_records(raw.as_py()):
+                    yield {"page_id": None, "record": build_record([x for x in headers if x[0].lower() != "content-length"], block)}
 
     files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(run, "page_id long, record binary")
+    return files.mapInArrow(lambda batches: _batches(records(batches), _RESPONSE), "page_id long, record binary")
