@@ -80,11 +80,14 @@ class Scratch:
         return df
 
 
-def stored(df: DataFrame, name: str = "t") -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: lineage ends there, and a lost executor loses nothing."""
+def stored(df: DataFrame, name: str = "t", files: int | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: lineage ends there, and a lost executor loses nothing.
+
+    ``files``: write that many at most, from as many tasks.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     if _OPEN:
         _OPEN[-1].paths.append(path)
     back = spark.read.schema(df.schema).parquet(path)
