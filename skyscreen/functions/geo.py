@@ -71,6 +71,15 @@ def utm_epsg(lon: Column, lat: Column) -> Column:
     return (zone + F.when(lat >= 0, 32600).otherwise(32700)).cast("int")
 
 
+def target_crs(wanted: str | int | None, box) -> str:
+    """The system to work in: what is asked for, a bare number as an EPSG code, and the zone of the box's middle for ``auto``."""
+    text = str(wanted or "auto").strip()
+    if text.lower() in ("auto", "auto-utm"):
+        lon, lat = (box[0] + box[2]) / 2, (box[1] + box[3]) / 2
+        text = str(math.floor((lon + 180.0) / 6.0) % 60 + 1 + (32600 if lat >= 0 else 32700))
+    return f"EPSG:{int(text)}" if text.isdigit() else text
+
+
 def _zone_of(epsg: Column) -> tuple[Column, Column]:
     """(central meridian in degrees, false northing)."""
     south = epsg >= 32700

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import asdict, dataclass, field
+from datetime import UTC, datetime
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,14 +13,14 @@ from pyspark.sql.window import Window
 
 from ..functions import geo
 from ..functions.text import keyword_score
-from ..specs import FACTORS
+from ..specs import FACTORS, BuildingSpec
 
 #: Vetted sources outside item catalogues (factor, name, registry id, address, metres a pixel, licence, text, keywords).
 SOURCES = (
-    ("canopy", "High Resolution Canopy Height Maps by WRI and Meta", "dataforgood-fb-forests", "https://registry.opendata.aws/dataforgood-fb-forests/", 1.0, "CC-BY-4.0", "Global ~1 m tree-canopy HEIGHT from ML on Maxar imagery.", "canopy height tree forest chm vegetation"),
-    ("canopy", "ETH Global Sentinel-2 10m Canopy Height 2020", None, "https://langnico.github.io/globalcanopyheight/", 10.0, "CC-BY-4.0", "Global 10 m canopy height (ETH Zurich); coarser alternative.", "canopy height tree forest eth sentinel"),
-    ("buildings", "OpenBuildingMap (GFZ/GEM)", None, "https://www.openbuildingmap.org/", None, "ODbL-1.0", "Global building footprints with heights and storeys on a level-6 quadkey grid.", "building height storeys obm openbuildingmap gem"),
-    ("buildings", "Overture Maps Foundation", "overturemaps", "https://registry.opendata.aws/overturemaps/", None, "CDLA-Permissive-2.0", "Global building footprints, many with HEIGHTS (vector).", "building footprint height overture structure"),
+    ("canopy", "High Resolution Canopy Height Maps by WRI and Meta", "dataforgood-fb-forests", "https://registry.opendata.aws/dataforgood-fb-forests/", 1.0, "CC-BY-4.0", "Tree canopy height worldwide at about a metre, modelled from satellite images.", "canopy height tree forest chm vegetation"),
+    ("canopy", "ETH Global Sentinel-2 10m Canopy Height 2020", None, "https://langnico.github.io/globalcanopyheight/", 10.0, "CC-BY-4.0", "Canopy height worldwide at 10 m; the coarser choice.", "canopy height tree forest eth sentinel"),
+    ("buildings", "OpenBuildingMap (GFZ/GEM)", None, "https://www.openbuildingmap.org/", None, "ODbL-1.0", "Footprints of buildings with height or storeys, a file for each quadkey of level 6.", "building height storeys obm openbuildingmap gem"),
+    ("buildings", "Overture Maps Foundation", "overturemaps", "https://registry.opendata.aws/overturemaps/", None, "CDLA-Permissive-2.0", "Footprints of buildings as vectors; many have a height.", "building footprint height overture structure"),
 )
 
 
@@ -48,19 +51,33 @@ def best_items(items: DataFrame, box=None, newest: bool = False) -> DataFrame:
     return d.withColumn("_k", F.row_number().over(Window.partitionBy("collection").orderBy(*order))).where("_k = 1").drop("_k")
 
 
+def item_time(properties: Column) -> Column:
+    """When an item was taken: its ``datetime``, else the start of its span."""
+    named = lambda k: F.nullif(F.try_element_at(properties, F.lit(k)), F.lit(""))
+    return F.coalesce(named("datetime"), named("start_datetime"))
+
+
 def all_hrefs(items: DataFrame) -> DataFrame:
-    """``collection, hrefs``: addresses of all items, finest first, each once."""
-    first = items.groupBy("collection", "href").agg(F.min(F.struct(*(c.alias(n) for c, n in zip(_in_order(), ("gsd", "dt", "id"), strict=True)))).alias("at"))
-    return first.groupBy("collection").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "href"))), lambda x: x["href"]).alias("hrefs"))
+    """``collection, href, at``: every address of a collection once, a row each; ``at`` puts them in order, finest first.
+
+    Rows stay apart, so a collection of any size is no task's alone; sort by ``collection, at, href`` to list them.
+    """
+    at = F.struct(*(c.alias(n) for c, n in zip(_in_order(), ("gsd_m", "dt", "id"), strict=True)))
+    return items.groupBy("collection", "href").agg(F.min(at).alias("at"))
 
 
 def probe(items: DataFrame, extents: DataFrame, box, max_items: int = 50) -> DataFrame:
-    """``collection, coverage_pct, n_items, sample_ids``: how much of the box a collection's extent covers, and what it holds there."""
+    """``collection, coverage_pct, n_items, sample_ids``: how much of the box a collection's extent covers, and what it holds there.
+
+    Items are counted before they are shuffled, and each task ranks its own and hands on ``max_items`` of a collection at most.
+    """
     corners = [F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]
-    hits = items.where(geo.boxes_overlap(*corners, box)).withColumn("_k", F.row_number().over(Window.partitionBy("collection").orderBy("id")))
-    held = hits.groupBy("collection").agg(F.count("*").alias("n_items"), F.sort_array(F.collect_list(F.when(F.col("_k") <= max_items, F.col("id")))).alias("sample_ids"))
+    hits = items.where(geo.boxes_overlap(*corners, box)).select("collection", "id")
+    held = hits.groupBy("collection").agg(F.count("*").alias("n_items"))
+    first = hits.withColumn("_k", F.row_number().over(Window.partitionBy("collection").orderBy("id"))).where(F.col("_k") <= max_items)
+    first = first.groupBy("collection").agg(F.sort_array(F.collect_list("id")).alias("sample_ids"))
     d = extents.select("collection", geo.overlap_pct(box, *corners).alias("coverage_pct"))
-    return d.join(held, "collection", "left").withColumn("n_items", F.coalesce("n_items", F.lit(0)).cast("long"))
+    return d.join(held, "collection", "left").join(first, "collection", "left").withColumn("n_items", F.coalesce("n_items", F.lit(0)).cast("long"))
 
 
 def asset_href(assets: Column) -> Column:
@@ -136,6 +153,61 @@ def layer_hrefs(entries: list[dict]) -> dict[str, list[str]]:
     return out
 
 
+def building_access(entry: dict | None = None, spec: BuildingSpec = BuildingSpec()) -> dict:
+    """Where footprints are and what their columns are called: as the entry says, else as the spec does.
+
+    A template may stand among the addresses too; it is the one with ``{quadkey}`` in it. What was resolved stays as it is.
+    """
+    said = {k: v for k, v in {**((entry or {}).get("access_params") or {}), **(entry or {})}.items() if v not in (None, "")}
+    hrefs = said.get("hrefs") or said.get("asset_href") or []
+    inside = [h for h in ([hrefs] if isinstance(hrefs, str) else hrefs) if "{quadkey}" in str(h)]
+    out = {k: said.get(k, v) for k, v in asdict(spec).items()}
+    if "url_template" not in said and inside:
+        out["url_template"] = inside[0]
+    return out | {"quadkey_zoom": int(out["quadkey_zoom"])}
+
+
+def building_urls(box, spark: SparkSession, entry: dict | None = None) -> list[str]:
+    """Addresses of the footprint files that cover a box."""
+    access = building_access(entry)
+    return [access["url_template"].replace("{quadkey}", k) for k in building_keys(box, access["quadkey_zoom"], spark)]
+
+
+def save_manifest(manifest: dict, path: str) -> None:
+    """Write a manifest with the time of writing."""
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(json.dumps(manifest | {"generated_at": datetime.now(UTC).isoformat(timespec="seconds")}, indent=2, default=str))
+
+
+def load_manifest(path: str) -> dict:
+    """The manifest of a file; an empty one if there is no file."""
+    return json.loads(Path(path).read_text()) if Path(path).exists() else {"aoi_bbox": None, "entries": [], "notes": []}
+
+
+def add_entry(manifest: dict, entry: dict) -> dict:
+    """The manifest with an entry in place of that of the same factor and dataset; an unfounded web pick is taken back."""
+    template = (entry.get("access_params") or {}).get("url_template")
+    made = build_manifest(manifest.get("aoi_bbox") or (), [entry | ({"source_url": template} if template and not entry.get("source_url") else {})])
+    new = made["entries"][0] | {"source_url": entry.get("source_url")}
+    kept = [e for e in manifest.get("entries", []) if (e.get("factor"), e.get("dataset_id")) != (new["factor"], new["dataset_id"])]
+    return manifest | {"entries": [*kept, new], "notes": [*manifest.get("notes", []), *made["notes"]]}
+
+
+def remove_entry(manifest: dict, dataset_id: str, factor: str | None = None) -> tuple[dict, int]:
+    """The manifest without a dataset, of one factor or of all, and how many entries went."""
+    kept = [e for e in manifest.get("entries", []) if e.get("dataset_id") != dataset_id or factor not in (None, e.get("factor"))]
+    return manifest | {"entries": kept}, len(manifest.get("entries", [])) - len(kept)
+
+
+def list_entries(manifest: dict) -> list[str]:
+    """A line for each entry, selected ones marked, then the notes."""
+    lines = []
+    for e in manifest.get("entries", []):
+        where = e.get("source_url") or e.get("asset_href") or (e.get("access_params") or {}).get("url_template") or ""
+        lines.append(f"{'*' if e.get('selected') else '-'} {e.get('factor')}: {e.get('dataset_id')}, {e.get('access')}, {e.get('license') or 'no licence stated'} {where}".rstrip())
+    return lines + [f"note: {n}" for n in manifest.get("notes", [])]
+
+
 def building_keys(box, zoom: int, spark: SparkSession) -> list[str]:
     """Quadkeys of the building files that cover a box."""
     return list(spark.range(1).select(geo.box_quadkeys(*(F.lit(float(v)) for v in box), zoom).alias("k")).first()["k"])

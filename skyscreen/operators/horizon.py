@@ -142,7 +142,8 @@ def score(points: DataFrame, surfaces: DataFrame, spec: SkySpec = SkySpec()) ->
 
     Points are dealt by tile and, in dense tiles, by a share of ``POINTS_PER_GROUP``, to which the tile's packed surface is
     copied; so no task holds more than one surface and one share. A surface that can't be read gives findings with an
-    ``error`` and no score, and the others go on. Points of tiles without a surface are undetermined.
+    ``error`` and no score, and the others go on. Points of tiles without a surface, and points without a tile, are
+    undetermined.
     """
     if "x" not in points.columns:
         zones = surfaces.select("tile_id", F.col("epsg").alias("_epsg"))
@@ -151,9 +152,10 @@ def score(points: DataFrame, surfaces: DataFrame, spec: SkySpec = SkySpec()) ->
         points = points.withColumn("x", east).withColumn("y", north)
     height = F.col("dish_height_m").cast("double") if "dish_height_m" in points.columns else F.lit(spec.mount_heights_m[0])
     points = points.select(F.col("location_id").cast("string").alias("location_id"), F.col("tile_id").cast("string").alias("tile_id"), "x", "y", F.coalesce(height, F.lit(spec.mount_heights_m[0])).alias("mount"))
-    shares = points.groupBy("tile_id").agg(F.ceil(F.count("*") / POINTS_PER_GROUP).cast("int").alias("shares"))
-    points = points.join(shares, "tile_id").withColumn("share", F.pmod(F.xxhash64("location_id", "mount"), F.col("shares")).cast("int")).drop("shares")
-    copies = surfaces.withColumn("tile_id", F.col("tile_id").cast("string")).join(shares, "tile_id").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+    shares = points.groupBy(F.col("tile_id").alias("_tile")).agg(F.ceil(F.count("*") / POINTS_PER_GROUP).cast("int").alias("shares"))
+    # points at one place meet in one share, where they are scored once
+    points = points.join(shares, F.col("tile_id").eqNullSafe(F.col("_tile"))).withColumn("share", F.pmod(F.xxhash64("x", "y", "mount"), F.col("shares")).cast("int")).drop("shares", "_tile")
+    copies = surfaces.withColumn("tile_id", F.col("tile_id").cast("string")).join(shares.withColumnRenamed("_tile", "tile_id"), "tile_id").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
     if "confidence" not in copies.columns:
         copies = copies.withColumn("confidence", F.lit(None).cast("string"))
 
@@ -205,22 +207,30 @@ def candidates(sites: DataFrame, buffer_m: float = 50.0, grid_m: float = 10.0, h
 
 
 def best_spots(scored: DataFrame, limit: int = 10) -> DataFrame:
-    """The best candidates of each site, least obstructed and lowest first, with what they gain on the site itself."""
+    """The best candidates of each site, least obstructed and lowest first, with what they gain on the site itself.
+
+    ``scored``: location_id, dx, dy, dish_height_m, obstruction_pct and ``is_site``, which marks the site's own score.
+    """
     site = Window.partitionBy("location_id")
-    base = F.min(F.when((F.col("dx") == 0) & (F.col("dy") == 0), F.struct("dish_height_m", "obstruction_pct"))).over(site)["obstruction_pct"]
-    d = scored.withColumn("baseline_pct", base).where(F.col("obstruction_pct").isNotNull())
+    d = scored.withColumn("baseline_pct", F.max(F.when(F.col("is_site"), F.col("obstruction_pct"))).over(site)).where(~F.col("is_site") & F.col("obstruction_pct").isNotNull())
     d = d.withColumn("n_candidates", F.count("*").over(site)).withColumn("rank", F.row_number().over(site.orderBy("obstruction_pct", "dish_height_m", "dx", "dy")))
-    return d.where(F.col("rank") <= limit).withColumn("improvement_pct", F.round(F.col("baseline_pct") - F.col("obstruction_pct"), 2))
+    return d.where(F.col("rank") <= limit).withColumn("improvement_pct", F.round(F.col("baseline_pct") - F.col("obstruction_pct"), 2)).drop("is_site")
 
 
-def find_spots(sites: DataFrame, surfaces: DataFrame, spec: SkySpec = SkySpec(), buffer_m: float = 50.0, grid_m: float = 10.0, limit: int = 10) -> DataFrame:
-    """Score all candidates around each site (location_id, tile_id, x, y) and rank them."""
-    tried = candidates(sites, buffer_m, grid_m, spec.mount_heights_m)
-    name = F.concat_ws("|", "location_id", F.col("dx").cast("string"), F.col("dy").cast("string"))
-    points = tried.select(name.alias("location_id"), "tile_id", (F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"), "dish_height_m")
-    part = lambda i: F.split_part("location_id", F.lit("|"), F.lit(i))
-    got = score(points, surfaces, spec).select(part(1).alias("location_id"), part(2).cast("double").alias("dx"), part(3).cast("double").alias("dy"), "dish_height_m", "obstruction_pct", "risk_tier", "confidence")
-    return best_spots(got, limit)
+def find_spots(sites: DataFrame, surfaces: DataFrame, spec: SkySpec = SkySpec(), buffer_m: float = 50.0, grid_m: float = 5.0, limit: int = 10) -> DataFrame:
+    """Score all candidates around each site (location_id, tile_id, x, y) and rank them; with their positions in degrees.
+
+    The site itself is scored at the lowest mount as a point of its own, whether or not the grid hits it.
+    """
+    tried = candidates(sites, buffer_m, grid_m, spec.mount_heights_m).withColumn("is_site", F.lit(False))
+    own = sites.withColumn("dx", F.lit(0.0)).withColumn("dy", F.lit(0.0)).withColumn("dish_height_m", F.lit(float(min(spec.mount_heights_m)))).withColumn("is_site", F.lit(True))
+    key = F.to_json(F.struct(F.col("location_id").cast("string").alias("location_id"), (F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"), "dx", "dy", "is_site"))
+    points = tried.unionByName(own).select(key.alias("location_id"), "tile_id", (F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"), "dish_height_m")
+    got = score(points, surfaces, spec).withColumn("k", F.from_json("location_id", "location_id string, x double, y double, dx double, dy double, is_site boolean"))
+    got = best_spots(got.select("k.*", "tile_id", "dish_height_m", "obstruction_pct", "risk_tier", "confidence"), limit)
+    zones = surfaces.select(F.col("tile_id").cast("string").alias("tile_id"), F.col("epsg").alias("_epsg"))
+    lon, lat = geo.utm_inverse(F.col("x"), F.col("y"), F.col("_epsg"))
+    return got.join(zones, "tile_id").withColumn("lon", F.round(lon, 7)).withColumn("lat", F.round(lat, 7)).drop("_epsg")
 
 
 def ray_samples(points: DataFrame, spec: SkySpec, gsd: float) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import shutil
+import subprocess
 from datetime import UTC, datetime
 from pathlib import Path
 
@@ -65,14 +67,47 @@ def placed(findings: DataFrame, coords: DataFrame) -> DataFrame:
 
 
 def features(points: DataFrame, county: str | None = "county") -> DataFrame:
-    """``feature``: one GeoJSON point a row, as text."""
-    props = [F.col("location_id").alias("id"), tier().alias("tier"), F.col("obstruction_pct").alias("pct"), F.coalesce(F.nullif(F.col("confidence"), F.lit("")), F.lit("unknown")).alias("confidence")]
+    """``feature``: one GeoJSON point a row, as text. Rows without a county have no county or state; null values stay out."""
+    props = ["location_id", tier().alias("risk_tier"), "obstruction_pct", "confidence"]
     if county:
-        props += [F.col(county).alias("county"), state_fips(F.col(county)).alias("state")]
+        known = F.nullif(F.col(county), F.lit(""))
+        props += [known.alias("county"), state_fips(known).alias("state")]
     shape = F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))
     return points.select("location_id", F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*props).alias("properties"))).alias("feature"))
 
 
+def feature_collection(points: DataFrame, path: str, county: str | None = "county") -> int:
+    """One GeoJSON FeatureCollection in a file, for readers that take nothing else; gives the number of features.
+
+    Rows reach the driver partition by partition and go straight to the file, so it never holds more than one of them.
+    """
+    n = 0
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "w") as f:
+        f.write('{"type": "FeatureCollection", "features": [')
+        for row in features(points, county).select("feature").toLocalIterator():
+            f.write(("," if n else "") + "\n" + row["feature"])
+            n += 1
+        f.write("\n]}\n")
+    return n
+
+
+def write_tiles(features_path: str, target: str, report: ReportSpec = ReportSpec(), program: str = "tippecanoe") -> tuple[bool, str]:
+    """Map tiles from written features, by the public tile builder if it is installed: (whether they were made, what happened).
+
+    The step is optional: without the program, or if it fails, the features remain and the message says so.
+    """
+    if not shutil.which(program):
+        return False, f"{program} is not installed; the features are there without tiles"
+    files = [str(p) for p in sorted(Path(features_path).glob("part-*"))] if Path(features_path).is_dir() else [features_path]
+    order = [program, "-o", target, "--force", "-l", "findings", "-Z", str(report.min_zoom), "-z", str(report.max_zoom), "-r1", "--cluster-distance=8", *files]
+    try:
+        done = subprocess.run(order, capture_output=True, text=True, timeout=600)
+    except (OSError, subprocess.TimeoutExpired) as e:
+        return False, f"{program} did not run: {e}"
+    return (True, f"wrote {Path(target).name}") if done.returncode == 0 else (False, f"{program} ended with {done.returncode}: {done.stderr.strip()[:300]}")
+
+
 def centre_zoom(points: DataFrame) -> DataFrame:
     """The middle of all points and the zoom that shows them."""
     span = F.greatest(F.max("lon") - F.min("lon"), F.max("lat") - F.min("lat"))
@@ -124,22 +159,40 @@ _PAGE = """<!DOCTYPE html>
 <body><header><b>{title}</b> {toggles} <select id="state"><option value="">all states</option>{states}</select>
 <select id="county"><option value="">all counties</option>{counties}</select></header><canvas id="c"></canvas>
 <script>
-const colours = {colours}, sources = {sources};
+const colours = {colours}, sources = {sources}, outlines = {outlines};
 const canvas = document.getElementById("c"), g = canvas.getContext("2d");
-let points = [];
+let points = [], borders = [];
 function draw() {{
   canvas.width = canvas.clientWidth; canvas.height = canvas.clientHeight;
   const on = new Set([...document.querySelectorAll("input:checked")].map(x => x.value));
   const state = document.getElementById("state").value, county = document.getElementById("county").value;
   const scale = 256 * 2 ** {zoom} / 360;
+  for (const [id, shapes] of borders) {{
+    g.strokeStyle = id === county ? "#c80" : "#bbb";
+    for (const rings of shapes) for (const ring of rings) {{
+      g.beginPath();
+      for (const [lon, lat] of ring) g.lineTo(canvas.width / 2 + (lon - {lon}) * scale, canvas.height / 2 - (lat - {lat}) * scale * 1.2);
+      g.stroke();
+    }}
+  }}
   for (const p of points) {{
     const q = p.properties, [lon, lat] = p.geometry.coordinates;
-    if (!on.has(q.tier) || (state && q.state !== state) || (county && q.county !== county)) continue;
-    g.fillStyle = colours[q.tier] || "#000";
+    if (!on.has(q.risk_tier) || (state && q.state !== state) || (county && q.county !== county)) continue;
+    g.fillStyle = colours[q.risk_tier] || "#000";
     g.fillRect(canvas.width / 2 + (lon - {lon}) * scale, canvas.height / 2 - (lat - {lat}) * scale * 1.2, 2, 2);
   }}
 }}
+// a state narrows the counties down; one that lies elsewhere is no longer chosen
+document.getElementById("state").addEventListener("change", e => {{
+  const county = document.getElementById("county");
+  for (const o of county.options) o.hidden = Boolean(o.value && e.target.value && o.dataset.state !== e.target.value);
+  if (county.selectedOptions[0].hidden) county.value = "";
+}});
 document.querySelectorAll("input,select").forEach(x => x.addEventListener("change", draw));
+if (outlines) fetch(outlines).then(r => r.json()).then(t => {{
+  for (const f of t.features) borders.push([f.properties.GEOID, f.geometry.type === "Polygon" ? [f.geometry.coordinates] : f.geometry.coordinates]);
+  draw();
+}});
 for (const s of sources) fetch(s).then(r => r.text()).then(t => {{
   for (const line of t.split("\\n")) if (line) points.push(JSON.parse(line));
   draw();
@@ -148,13 +201,17 @@ for (const s of sources) fetch(s).then(r => r.text()).then(t => {{
 """
 
 
-def map_html(centre: dict, sources: list[str], got: dict | None = None, title: str = "Sky obstruction", report: ReportSpec = ReportSpec()) -> str:
-    """A page that draws newline-delimited features by tier, with tier, state and county filters."""
-    option = lambda value, name: f'<option value="{value}">{name}</option>'
+def map_html(centre: dict, sources: list[str], got: dict | None = None, title: str = "Sky obstruction", report: ReportSpec = ReportSpec(), outlines: str | None = None) -> str:
+    """A page that draws newline-delimited features by tier, with tier, state and county filters; a state narrows the counties.
+
+    ``outlines`` names a GeoJSON file of counties (GEOID) beside the page, drawn as lines with the chosen one marked.
+    """
+    option = lambda value, name, more="": f'<option value="{value}"{more}>{name}</option>'
     toggles = "".join(f'<label style="color:{c}"><input type="checkbox" value="{t}" checked>{t}</label>' for t, c in report.tier_colours)
     states = "".join(option(r["region"], r["state_name"]) for r in (got or {}).get("states", []))
     names = sorted((COUNTY_NAMES.get(r["region"], r["region"]), r["region"]) for r in (got or {}).get("counties", []))
-    return _PAGE.format(title=title, toggles=toggles, states=states, counties="".join(option(v, n) for n, v in names), colours=json.dumps(dict(report.tier_colours)), sources=json.dumps(sources), zoom=centre["zoom"], lon=centre["center_lon"], lat=centre["center_lat"])
+    counties = "".join(option(v, f"{n} ({v})", f' data-state="{v[:2]}"') for n, v in names)
+    return _PAGE.format(title=title, toggles=toggles, states=states, counties=counties, colours=json.dumps(dict(report.tier_colours)), sources=json.dumps(sources), outlines=json.dumps(outlines), zoom=centre["zoom"], lon=centre["center_lon"], lat=centre["center_lat"])
 
 
 def write_report(content: str, filename: str, folder: str) -> str:

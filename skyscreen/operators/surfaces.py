@@ -71,6 +71,19 @@ def warp_to(source: dict, grid: dict, band: int = 0) -> np.ndarray:
     return warp_bilinear(values, (source["y0"] - y) / source["gsd_m"] - 0.5, (x - source["x0"]) / source["gsd_x"] - 0.5).astype(np.float32)
 
 
+def window_for(grid: dict):
+    """The part of a raster that a grid needs: its edges in the raster's system, with two pixels to spare on each side."""
+
+    def window(head: dict) -> tuple[int, int, int, int]:
+        t = np.linspace(0, 1, 22)
+        u, v = np.concatenate([t, t, np.zeros(22), np.ones(22)]), np.concatenate([np.zeros(22), np.ones(22), t, t])
+        x, y = geo.reproject(grid["x0"] + u * grid["width"] * grid["gsd_m"], grid["y0"] - v * grid["height"] * grid["gsd_m"], grid["epsg"], head["epsg"] or grid["epsg"])
+        rows, cols = (head["y0"] - y) / head["gsd_m"], (x - head["x0"]) / head["gsd_x"]
+        return math.floor(rows.min()) - 2, math.floor(cols.min()) - 2, math.ceil(rows.max()) + 2, math.ceil(cols.max()) + 2
+
+    return window
+
+
 def layers(granules: DataFrame, grids: DataFrame) -> DataFrame:
     """``tile_id, layer, rank, values, error``: each granule on its tile's grid, packed; what can't be read has an error."""
     kind = dict(granules.dtypes)["tile_id"]
@@ -81,7 +94,7 @@ def layers(granules: DataFrame, grids: DataFrame) -> DataFrame:
                 r = b.slice(k, 1).to_pylist()[0]
                 values = error = None
                 try:
-                    values = warp_to(read_geotiff(r["content"]), r).tobytes()
+                    values = warp_to(read_geotiff(r["content"], window_for(r)), r).tobytes()
                 except Exception as e:  # noqa: BLE001 - any broken file is that tile's error
                     error = f"{r['layer']}: {type(e).__name__}: {e}"[:200]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 1), pa.array([r["layer"]]), pa.array([r["rank"]], pa.int32()), pa.array([values], pa.binary()), pa.array([error], pa.string())], names=["tile_id", "layer", "rank", "values", "error"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,16 +12,22 @@ MAX_ROWS = 1000
 
 
 def guarded_sql(spark: SparkSession, sql: str, limit: int | None = 100, locations: DataFrame | None = None) -> DataFrame:
-    """A read-only query, one statement, at most ``MAX_ROWS`` rows; ``locations`` is there as a view.
+    """A read-only query, one statement, at most ``MAX_ROWS`` rows; ``locations`` is there by that name, for this query only.
 
     The query stands as a subquery, so the parser itself refuses whatever isn't a SELECT.
     """
     text = sql.strip().rstrip(";").strip()
     if not re.match(r"(select|with)\b", text, re.I) or ";" in text:
         raise ValueError("one SELECT or WITH statement, please")
-    if locations is not None:
-        locations.createOrReplaceTempView("locations")
-    return spark.sql(f"SELECT * FROM ({text}) AS _q").limit(max(1, min(int(limit or 100), MAX_ROWS)))
+    rows = max(1, min(int(limit or 100), MAX_ROWS))
+    if locations is None:
+        return spark.sql(f"SELECT * FROM ({text}) AS _q").limit(rows)
+    view = f"_locations_{uuid.uuid4().hex}"
+    locations.createOrReplaceTempView(view)
+    try:
+        return spark.sql(f"WITH locations AS (SELECT * FROM {view}) SELECT * FROM ({text}) AS _q").limit(rows)
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def todo(tiles: DataFrame, findings: DataFrame) -> DataFrame:

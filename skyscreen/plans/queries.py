@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geo, sky, text
-from ..operators import catalog, horizon, locations, quality, raster, rollup, work
-from ..specs import AOI, SkySpec, TileSpec
+from ..operators import cache, catalog, horizon, locations, quality, raster, rollup, work
+from ..specs import AOI, CONUS, SkySpec, TileSpec
 from .fixtures import Fixtures, ctes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,11 +107,11 @@ def county_weights(x: Fixtures) -> DataFrame:
     return d.groupBy("county").agg(F.count("*").alias("n_coords"), F.sum("n_locations").alias("households"))
 
 
-@query("SELECT 'off' AS strategy, 'CONUS' AS name, -125.0::DOUBLE AS min_lon, 24.0::DOUBLE AS min_lat")
+@query(f"SELECT 'fallback' AS source, {CONUS[0]}::DOUBLE AS min_lon, {CONUS[1]}::DOUBLE AS min_lat, {CONUS[2]}::DOUBLE AS max_lon, {CONUS[3]}::DOUBLE AS max_lat")
 def aoi_fallback(x: Fixtures) -> DataFrame:
-    box, where = locations.resolve_aoi(x.locations.where("1 = 0"))
-    assert where == "fallback"
-    return x.spark.createDataFrame([("off", "CONUS", box[0], box[1])], "strategy string, name string, min_lon double, min_lat double")
+    """Where the box comes from if no row has a usable coordinate."""
+    box, where = locations.resolve_aoi(x.locations.where("latitude > 90"))
+    return x.spark.createDataFrame([(where, *box)], "source string, min_lon double, min_lat double, max_lon double, max_lat double")
 
 
 # --- geography
@@ -139,11 +140,14 @@ def utm_forward(x: Fixtures) -> DataFrame:
     return x.coords.select("coord_id", F.round(east, 3).alias("easting"), F.round(north, 3).alias("northing"))
 
 
-@query("SELECT coord_id, round(longitude, 8) AS lon, round(latitude, 8) AS lat FROM unique_coords WHERE longitude < -70", "unique_coords")
+@query("SELECT coord_id, round(longitude, 8) AS lon, round(latitude, 8) AS lat FROM unique_coords", "unique_coords")
 def utm_round_trip(x: Fixtures) -> DataFrame:
-    east, north = geo.utm_forward(F.col("longitude"), F.col("latitude"), F.lit(32617))
-    lon, lat = geo.utm_inverse(F.col("e"), F.col("n"), F.lit(32617))
-    return x.coords.where("longitude < -70").select("coord_id", east.alias("e"), north.alias("n")).select("coord_id", F.round(lon, 8).alias("lon"), F.round(lat, 8).alias("lat"))
+    """Every coordinate to its own zone and back."""
+    zone = geo.utm_epsg(F.col("longitude"), F.col("latitude"))
+    east, north = geo.utm_forward(F.col("longitude"), F.col("latitude"), F.col("zone"))
+    lon, lat = geo.utm_inverse(F.col("e"), F.col("n"), F.col("zone"))
+    d = x.coords.withColumn("zone", zone).select("coord_id", "zone", east.alias("e"), north.alias("n"))
+    return d.select("coord_id", F.round(lon, 8).alias("lon"), F.round(lat, 8).alias("lat"))
 
 
 _TILE = "concat('32617_', CAST(CAST(floor(easting / 5000.0) AS BIGINT) AS VARCHAR), '_', CAST(CAST(floor(northing / 5000.0) AS BIGINT) AS VARCHAR))"
@@ -159,9 +163,19 @@ def tile_counts(x: Fixtures) -> DataFrame:
     return locations.tiles(locations.assign_tiles(x.coords, 32617, _GRID), 32617, _GRID).select("tile_id", "n_coords")
 
 
-@query()
+_SCALE = f"{geo._K0 * geo._RECT!r}::DOUBLE"
+_BACK = " + ".join(f"{c!r}::DOUBLE * sin({2 * j} * chi)" for j, c in enumerate(geo._DELTA, 1))
+_BOXES = f"""{_UTM}, t0 AS (SELECT CAST(floor(easting / 5000.0) AS BIGINT) AS ix, CAST(floor(northing / 5000.0) AS BIGINT) AS iy, count(*) AS n_coords FROM m GROUP BY 1, 2),
+c0 AS (SELECT ix, iy, n_coords, (iy * 5000 + dy)::DOUBLE / {_SCALE} AS xi, (ix * 5000 + dx - 500000)::DOUBLE / {_SCALE} AS eta FROM t0, (VALUES (-300, -300), (-300, 5300), (5300, -300), (5300, 5300)) v(dx, dy)),
+c1 AS (SELECT *, xi - ({_series(geo._BETA, 'xi', 'sin', 'cosh')}) AS a, eta - ({_series(geo._BETA, 'xi', 'cos', 'sinh')}) AS b FROM c0),
+c2 AS (SELECT *, asin(sin(a) / cosh(b)) AS chi, -81.0::DOUBLE + degrees(atan2(sinh(b), cos(a))) AS lon FROM c1),
+c3 AS (SELECT *, degrees(chi + {_BACK}) AS lat FROM c2)"""
+
+
+@query(f", {_BOXES} SELECT concat('32617_', CAST(ix AS VARCHAR), '_', CAST(iy AS VARCHAR)) AS tile_id, 32617 AS utm_epsg, round(min(lon), 8) AS min_lon, round(min(lat), 8) AS min_lat, round(max(lon), 8) AS max_lon, round(max(lat), 8) AS max_lat, any_value(n_coords) AS n_coords FROM c3 GROUP BY ix, iy", "unique_coords")
 def tile_boxes(x: Fixtures) -> DataFrame:
-    return locations.tiles(locations.assign_tiles(x.coords, locations.grid_epsg(x.coords), _GRID), 32617, _GRID)
+    d = locations.tiles(locations.assign_tiles(x.coords, locations.grid_epsg(x.coords), _GRID), 32617, _GRID)
+    return d.select("tile_id", "utm_epsg", *(F.round(c, 8).alias(c) for c in ("min_lon", "min_lat", "max_lon", "max_lat")), "n_coords")
 
 
 _SLIPPY = "least(greatest(CAST(trunc((longitude + 180.0) / 360.0 * 64) AS BIGINT), 0), 63) AS x, least(greatest(CAST(trunc((1.0 - asinh(tan(radians(latitude))) / pi()) / 2.0 * 64) AS BIGINT), 0), 63) AS y"
@@ -243,13 +257,19 @@ def surface_mode_pick(x: Fixtures) -> DataFrame:
     return d.withColumn("fallback", sky.next_mode(F.col("mode")))
 
 
+def _ring_wkb(rings: pa.Array) -> pa.Array:
+    """Polygons of five points, as well-known binary, for a whole batch of flat rings."""
+    raw, head = rings.flatten().to_numpy().astype("<f8").tobytes(), b"\x01\x03\x00\x00\x00\x01\x00\x00\x00\x05\x00\x00\x00"
+    return pa.array([head + raw[at : at + 80] for at in range(0, len(raw), 80)], pa.binary())
+
+
 @query("""SELECT l.tile_id, p.r AS row_idx, p.c AS col_idx, max(l.building) AS building FROM layers l, (SELECT a.range AS r, b.range AS c FROM range(0, 10) a, range(0, 10) b) p
 WHERE l.building > 0 AND p.r BETWEEN l.row_idx AND l.row_idx + 2 AND p.c BETWEEN l.col_idx AND l.col_idx + 1 GROUP BY 1, 2, 3""", "layers")
 def rasterize_max(x: Fixtures) -> DataFrame:
     west, north, east, south = F.col("col_idx") * 10.0, -F.col("row_idx") * 10.0, F.col("col_idx") * 10.0 + 20.0, -F.col("row_idx") * 10.0 - 30.0
     ring = [(west, north), (east, north), (east, south), (west, south), (west, north)]
     d = x.layers.where("building is not null").select("tile_id", F.col("building").alias("height_m"), F.array(*[v for p in ring for v in p]).alias("ring"))
-    pack = F.udf(lambda r: b"\x01\x03\x00\x00\x00\x01\x00\x00\x00\x05\x00\x00\x00" + np.array(r, "<f8").tobytes(), "binary")
+    pack = F.arrow_udf(_ring_wkb, "binary")
     grids = x.layers.select("tile_id").distinct().select("tile_id", *(F.lit(v).alias(n) for n, v in (("x0", 0.0), ("y0", 0.0), ("gsd_m", 10.0))), F.lit(10).alias("height"), F.lit(10).alias("width"))
     return raster.rasterize(d.select("tile_id", "height_m", pack("ring").alias("geometry")), grids)
 
@@ -350,9 +370,29 @@ def horizon_every_pixel(x: Fixtures) -> DataFrame:
     return horizon.score(*_every_pixel(x), SkySpec()).select("location_id", "obstruction_pct", "risk_tier", "confidence", "clearance_margin_m", "sampled_fraction", "max_horizon_deg")
 
 
+def _widened(packed: DataFrame, times: int) -> DataFrame:
+    """Packed surfaces with every pixel repeated ``times`` by ``times``: tiles of the size that production has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                wide = {n: np.frombuffer(r[n], t).reshape(r["height"], r["width"]).repeat(times, 0).repeat(times, 1).tobytes() for n, t in (("elevation", np.float32), ("provenance", np.int8))}
+                yield pa.RecordBatch.from_pylist([r | wide | {"height": r["height"] * times, "width": r["width"] * times}], schema=b.schema)
+
+    return packed.mapInArrow(run, packed.schema)
+
+
+@query()
+def horizon_full_tile(x: Fixtures) -> DataFrame:
+    """The operator on tiles of 600 by 600 pixels: 100 observers a tile, and all 27,000 samples of each look at data."""
+    points, packed = _every_pixel(x)
+    points = points.withColumn("x", (F.col("x") - 5.0) * 60 + 305.0).withColumn("y", (F.col("y") + 5.0) * 60 - 305.0)
+    return horizon.score(points, _widened(packed, 60), SkySpec()).select("location_id", "obstruction_pct", "risk_tier", "confidence", "clearance_margin_m", "sampled_fraction", "max_horizon_deg")
+
+
 @query()
 def clear_spots(x: Fixtures) -> DataFrame:
-    return horizon.find_spots(*_every_pixel(x), SkySpec()).select("location_id", "rank", "dx", "dy", "dish_height_m", "obstruction_pct", "improvement_pct", "n_candidates")
+    return horizon.find_spots(*_every_pixel(x), SkySpec()).select("location_id", "rank", "lon", "lat", "dx", "dy", "dish_height_m", "obstruction_pct", "baseline_pct", "improvement_pct", "n_candidates")
 
 
 @query("""SELECT location_id, a.range * 10.0::DOUBLE - 20.0 AS dx, b.range * 10.0::DOUBLE - 20.0 AS dy, h.h::DOUBLE AS dish_height_m FROM findings f, range(0, 5) a, range(0, 5) b, (SELECT unnest([0.0, 0.3, 0.6]) AS h) h
@@ -512,11 +552,12 @@ def percent_labels(x: Fixtures) -> DataFrame:
     return d.select("risk_tier", text.percent(F.col("n"), F.col("total")).alias("share"))
 
 
-@query("SELECT location_id, lon, lat, risk_tier AS tier, substr(county, 1, 2) AS state FROM findings", "findings")
+@query("SELECT location_id, lon, lat, risk_tier, obstruction_pct, confidence, county, substr(county, 1, 2) AS state FROM findings", "findings")
 def geojson_features(x: Fixtures) -> DataFrame:
     d = rollup.features(rollup.placed(x.findings.drop("lon", "lat"), x.coords))
     at = lambda p: F.get_json_object("feature", p)
-    return d.select("location_id", at("$.geometry.coordinates[0]").cast("double").alias("lon"), at("$.geometry.coordinates[1]").cast("double").alias("lat"), at("$.properties.tier").alias("tier"), at("$.properties.state").alias("state"))
+    said = [at(f"$.properties.{c}").alias(c) for c in ("risk_tier", "confidence", "county", "state")]
+    return d.select("location_id", at("$.geometry.coordinates[0]").cast("double").alias("lon"), at("$.geometry.coordinates[1]").cast("double").alias("lat"), at("$.properties.obstruction_pct").cast("double").alias("obstruction_pct"), *said)
 
 
 @query("SELECT round((min(lon) + max(lon)) / 2, 6) AS center_lon, round((min(lat) + max(lat)) / 2, 6) AS center_lat, round(greatest(3.0, least(11.0, log2(360.0 / greatest(greatest(max(lon) - min(lon), max(lat) - min(lat)), 0.01)))), 4) AS zoom FROM findings", "findings")
@@ -537,9 +578,9 @@ def stac_best_item(x: Fixtures) -> DataFrame:
     return catalog.best_items(x.items).select("collection", "id")
 
 
-@query("""SELECT collection, string_agg(href, ',' ORDER BY g, d, i) AS hrefs FROM (SELECT collection, split_part(href, '?', 1) AS href, min((coalesce(gsd_m, 1e9), coalesce(dt, ''), id)) AS m, m[1] AS g, m[2] AS d, m[3] AS i FROM items GROUP BY 1, 2) q GROUP BY 1""", "items")
+@query("""SELECT collection, href, m[1] AS gsd_m, m[2] AS dt, m[3] AS id FROM (SELECT collection, split_part(href, '?', 1) AS href, min((coalesce(gsd_m, 1e9), coalesce(dt, ''), id)) AS m FROM items GROUP BY 1, 2) q""", "items")
 def stac_all_hrefs(x: Fixtures) -> DataFrame:
-    return catalog.all_hrefs(raster.plain_hrefs(x.items)).select("collection", F.array_join("hrefs", ",").alias("hrefs"))
+    return catalog.all_hrefs(raster.plain_hrefs(x.items)).select("collection", "href", "at.*")
 
 
 @query(f"SELECT id, round(100.0::DOUBLE * greatest(0.0::DOUBLE, least(xmax, -75.46) - greatest(xmin, -84.32)) * greatest(0.0::DOUBLE, least(ymax, 36.59) - greatest(ymin, 33.84)) / {(AOI[2] - AOI[0]) * (AOI[3] - AOI[1])!r}::DOUBLE, 2) AS coverage_pct FROM items", "items")
@@ -547,10 +588,10 @@ def aoi_coverage_pct(x: Fixtures) -> DataFrame:
     return x.items.select("id", geo.overlap_pct(AOI, *(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))).alias("coverage_pct"))
 
 
-@query("SELECT collection, count(*) AS n_items FROM items WHERE xmin <= -75.46 AND xmax >= -84.32 AND ymin <= 36.59 AND ymax >= 33.84 GROUP BY 1", "items")
+@query("""SELECT collection, count(*) AS n_items, array_to_string((list(id ORDER BY id))[1:5], ',') AS sample_ids FROM items WHERE xmin <= -75.46 AND xmax >= -84.32 AND ymin <= 36.59 AND ymax >= 33.84 GROUP BY 1""", "items")
 def stac_probe(x: Fixtures) -> DataFrame:
     extents = x.items.groupBy("collection").agg(*(f(c).alias(c) for c, f in (("xmin", F.min), ("ymin", F.min), ("xmax", F.max), ("ymax", F.max))))
-    return catalog.probe(x.items, extents, AOI).select("collection", "n_items")
+    return catalog.probe(x.items, extents, AOI, max_items=5).select("collection", "n_items", F.array_join("sample_ids", ",").alias("sample_ids"))
 
 
 def _entries(x: Fixtures) -> DataFrame:
@@ -606,3 +647,29 @@ def query_guard_limit(x: Fixtures) -> DataFrame:
 def id_codecs(x: Fixtures) -> DataFrame:
     uri = F.concat(F.lit("/cache/"), "tile_id", F.lit("__c84a0b92_dsm.tif"))
     return x.findings.select("location_id", text.coord_number(F.col("location_id")).alias("n"), text.tile_of_uri(uri).alias("tile"))
+
+
+# --- the cache, the manifest's access rules and item times
+
+
+@query("""SELECT concat('c', CAST(id % 3 AS VARCHAR)) AS k, CASE WHEN id % 4 = 0 THEN 'd' WHEN id % 4 = 1 THEN 's' END AS taken, count(*) AS n FROM signals GROUP BY 1, 2""", "signals")
+def item_time(x: Fixtures) -> DataFrame:
+    props = F.when(F.col("id") % 4 == 0, F.create_map(F.lit("datetime"), F.lit("d"), F.lit("start_datetime"), F.lit("s"))).when(F.col("id") % 4 == 1, F.create_map(F.lit("datetime"), F.lit(""), F.lit("start_datetime"), F.lit("s"))).otherwise(F.create_map(F.lit("gsd"), F.lit("1")))
+    d = x.signals.select(F.concat(F.lit("c"), (F.col("id") % 3).cast("string")).alias("k"), catalog.item_time(props).alias("taken"))
+    return d.groupBy("k", "taken").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT asset, count(*) AS n FROM (SELECT CASE WHEN id % 5 = 0 THEN 'data' WHEN id % 5 < 3 THEN 'dem' WHEN id % 5 = 3 THEN 'other' END AS asset FROM signals) q GROUP BY 1""", "signals")
+def asset_pick(x: Fixtures) -> DataFrame:
+    k = F.col("id") % 5
+    lit = lambda *v: F.create_map(*map(F.lit, v))
+    assets = F.when(k == 0, lit("visual", "visual", "data", "data")).when(k < 3, lit("thumb", "thumb", "dem", "dem")).when(k == 3, lit("other", "other"))
+    return x.signals.select(catalog.asset_href(assets).alias("asset")).groupBy("asset").agg(F.count("*").alias("n"))
+
+
+@query("SELECT tile_id, count(*) AS n FROM findings WHERE coord_id % 40 >= 25 GROUP BY tile_id", "findings")
+def cache_missing(x: Fixtures) -> DataFrame:
+    """Tiles that the cache lacks: what is left to build, by the key of what each is built from."""
+    wanted = cache.keyed(x.findings.select("tile_id").distinct().selectExpr("tile_id", "-80.0D as min_lon", "35.0D as min_lat", "-79.0D as max_lon", "36.0D as max_lat"), {"dem": ["https://store/a.tif?sig=1"]}, "EPSG:32617", 10.0, "mosaic")
+    there = wanted.where("cast(substr(tile_id, 2) as int) < 25").withColumn("built_at", F.lit(1))
+    return cache.missing(wanted, there).join(x.findings, "tile_id").groupBy("tile_id").agg(F.count("*").alias("n"))

@@ -15,8 +15,13 @@ from ..specs import NODATA
 _SIZES = {1: ("B", 1), 2: ("s", 1), 3: ("H", 2), 4: ("I", 4), 5: ("II", 8), 11: ("f", 4), 12: ("d", 8), 16: ("Q", 8)}
 
 
-def read_geotiff(data: bytes) -> dict:
-    """``bands`` (list of arrays), ``x0, y0, gsd_x, gsd_m, epsg, nodata`` of the first image of a file."""
+def read_geotiff(data: bytes, window=None) -> dict:
+    """``bands`` (list of arrays), ``x0, y0, gsd_x, gsd_m, epsg, nodata`` of the first image of a file.
+
+    ``window``: a function from the file's head (the same fields, with ``height`` and ``width`` in place of bands) to the
+    rows and columns wanted (top, left, bottom, right). Only blocks that it touches are unpacked, and the result is the
+    window: ``x0, y0`` are its own corner.
+    """
     order = {b"II": "<", b"MM": ">"}[data[:2]]
     if struct.unpack_from(order + "H", data, 2)[0] != 42:
         raise ValueError("not a classic TIFF")
@@ -37,21 +42,30 @@ def read_geotiff(data: bytes) -> dict:
     offsets, sizes = tags[324 if tiled else 273], tags[325 if tiled else 279]
     planar = one(284, 1) == 2
     across, down = -(-width // tw), -(-height // th)
-    out = [np.zeros((down * th, across * tw), dtype.newbyteorder("=")) for _ in range(bands)]
+    scale, tie = tags.get(33550, (1.0, 1.0, 0.0)), tags.get(33922, (0.0,) * 6)
+    keys = tags.get(34735, ())
+    epsg = next((keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i] in (3072, 2048)), None)
+    nodata = float(tags[42113][0].decode()) if 42113 in tags else None
+    head = {"x0": tie[3] - tie[0] * scale[0], "y0": tie[4] + tie[1] * scale[1], "gsd_x": scale[0], "gsd_m": scale[1], "epsg": epsg, "nodata": nodata}
+    top, left, bottom, right = window({**head, "height": height, "width": width}) if window else (0, 0, height, width)
+    top, left, bottom, right = max(0, top), max(0, left), min(height, bottom), min(width, right)
+    if top >= bottom or left >= right:
+        top = left = bottom = right = 0
+    out = [np.zeros((bottom - top, right - left), dtype.newbyteorder("=")) for _ in range(bands)]
     for k, (o, n) in enumerate(zip(offsets, sizes, strict=True)):
-        raw = zlib.decompress(data[o : o + n]) if packing != 1 else data[o : o + n]
         band, cell = divmod(k, across * down) if planar else (0, k)
         r, c = divmod(cell, across)
+        r, c = r * th, c * tw
+        if r >= bottom or r + th <= top or c >= right or c + tw <= left:
+            continue
+        raw = zlib.decompress(data[o : o + n]) if packing != 1 else data[o : o + n]
         depth = 1 if planar else bands
         block = np.frombuffer(raw, dtype)
         block = block[: len(block) // (tw * depth) * tw * depth].reshape(-1, tw, depth)
+        r0, r1, c0, c1 = max(r, top), min(r + len(block), bottom), max(c, left), min(c + tw, right)
         for b in range(depth):
-            out[band + b][r * th : r * th + len(block), c * tw : c * tw + tw] = block[:, :, b]
-    scale, tie = tags.get(33550, (1.0, 1.0, 0.0)), tags.get(33922, (0.0,) * 6)
-    keys = tags.get(34735, ())
-    epsg = next((keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i] in (3072, 2048)), None)
-    nodata = float(tags[42113][0].decode()) if 42113 in tags else None
-    return {"bands": [b[:height, :width] for b in out], "x0": tie[3] - tie[0] * scale[0], "y0": tie[4] + tie[1] * scale[1], "gsd_x": scale[0], "gsd_m": scale[1], "epsg": epsg, "nodata": nodata}
+            out[band + b][r0 - top : r1 - top, c0 - left : c1 - left] = block[r0 - r : r1 - r, c0 - c : c1 - c, b]
+    return head | {"bands": out, "x0": head["x0"] + left * scale[0], "y0": head["y0"] - top * scale[1]}
 
 
 def write_geotiff(bands: list[np.ndarray], x0: float, y0: float, gsd: float, epsg: int, nodata: float = NODATA, tile: int = 256) -> bytes:

@@ -1,4 +1,4 @@
-"""Readers and sinks for locations, coordinates, surfaces and findings. Schemas are stated, never inferred."""
+"""Readers and sinks for locations, coordinates, surfaces and findings. Schemas are stated, unless a caller asks for a look at all rows."""
 
 from __future__ import annotations
 
@@ -19,6 +19,13 @@ def read_locations(spark: SparkSession, path: str, view: str | None = "locations
     return d
 
 
+def infer_locations(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV of any columns, typed by a look at every row; block codes stay text, however their digits read."""
+    kinds = spark.read.option("header", True).option("inferSchema", True).option("samplingRatio", 1.0).csv(path).schema
+    kept = T.StructType([T.StructField(f.name, T.StringType() if f.name in ("geoid_cb", "location_id") else f.dataType) for f in kinds])
+    return spark.read.schema(kept).option("header", True).csv(path)
+
+
 def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     d = spark.read.parquet(path)
     return d.select(*columns) if columns else d

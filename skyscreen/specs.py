@@ -52,6 +52,17 @@ class TileSpec:
     height_max: float = 500.0
 
 
+@dataclass(frozen=True)
+class BuildingSpec:
+    """Where building footprints are published, a file a quadkey, and the names of their columns."""
+
+    url_template: str = "https://data.source.coop/tge-labs/openbuildingmap/building.{quadkey}.parquet"
+    quadkey_zoom: int = 6
+    geom_col: str = "geometry"
+    height_col: str = "height"
+    bbox_col: str = "bbox"
+
+
 @dataclass(frozen=True)
 class QaSpec:
     qa_spec_version: str = "qa-2026.06-v1"
@@ -84,14 +95,26 @@ STATE_NAMES = {
     "45": "South Carolina", "46": "South Dakota", "47": "Tennessee", "48": "Texas", "49": "Utah", "50": "Vermont",
     "51": "Virginia", "53": "Washington", "54": "West Virginia", "55": "Wisconsin", "56": "Wyoming",
 }
-#: The counties of state 37 in alphabetical order; their public codes are the odd numbers from 1.
-_COUNTIES_37 = (
-    "Alamance Alexander Alleghany Anson Ashe Avery Beaufort Bertie Bladen Brunswick Buncombe Burke Cabarrus Caldwell Camden "
-    "Carteret Caswell Catawba Chatham Cherokee Chowan Clay Cleveland Columbus Craven Cumberland Currituck Dare Davidson Davie "
-    "Duplin Durham Edgecombe Forsyth Franklin Gaston Gates Graham Granville Greene Guilford Halifax Harnett Haywood Henderson "
-    "Hertford Hoke Hyde Iredell Jackson Johnston Jones Lee Lenoir Lincoln McDowell Macon Madison Martin Mecklenburg Mitchell "
-    "Montgomery Moore Nash New_Hanover Northampton Onslow Orange Pamlico Pasquotank Pender Perquimans Person Pitt Polk "
-    "Randolph Richmond Robeson Rockingham Rowan Rutherford Sampson Scotland Stanly Stokes Surry Swain Transylvania Tyrrell "
-    "Union Vance Wake Warren Washington Watauga Wayne Wilkes Wilson Yadkin Yancey"
-).split()
-COUNTY_NAMES = {f"37{2 * i + 1:03d}": name.replace("_", " ") for i, name in enumerate(_COUNTIES_37)}
+#: The public FIPS codes of the counties of state 37.
+COUNTY_NAMES = {
+    "37001": "Alamance", "37003": "Alexander", "37005": "Alleghany", "37007": "Anson", "37009": "Ashe",
+    "37011": "Avery", "37013": "Beaufort", "37015": "Bertie", "37017": "Bladen", "37019": "Brunswick",
+    "37021": "Buncombe", "37023": "Burke", "37025": "Cabarrus", "37027": "Caldwell", "37029": "Camden",
+    "37031": "Carteret", "37033": "Caswell", "37035": "Catawba", "37037": "Chatham", "37039": "Cherokee",
+    "37041": "Chowan", "37043": "Clay", "37045": "Cleveland", "37047": "Columbus", "37049": "Craven",
+    "37051": "Cumberland", "37053": "Currituck", "37055": "Dare", "37057": "Davidson", "37059": "Davie",
+    "37061": "Duplin", "37063": "Durham", "37065": "Edgecombe", "37067": "Forsyth", "37069": "Franklin",
+    "37071": "Gaston", "37073": "Gates", "37075": "Graham", "37077": "Granville", "37079": "Greene",
+    "37081": "Guilford", "37083": "Halifax", "37085": "Harnett", "37087": "Haywood", "37089": "Henderson",
+    "37091": "Hertford", "37093": "Hoke", "37095": "Hyde", "37097": "Iredell", "37099": "Jackson",
+    "37101": "Johnston", "37103": "Jones", "37105": "Lee", "37107": "Lenoir", "37109": "Lincoln",
+    "37111": "McDowell", "37113": "Macon", "37115": "Madison", "37117": "Martin", "37119": "Mecklenburg",
+    "37121": "Mitchell", "37123": "Montgomery", "37125": "Moore", "37127": "Nash", "37129": "New Hanover",
+    "37131": "Northampton", "37133": "Onslow", "37135": "Orange", "37137": "Pamlico", "37139": "Pasquotank",
+    "37141": "Pender", "37143": "Perquimans", "37145": "Person", "37147": "Pitt", "37149": "Polk",
+    "37151": "Randolph", "37153": "Richmond", "37155": "Robeson", "37157": "Rockingham", "37159": "Rowan",
+    "37161": "Rutherford", "37163": "Sampson", "37165": "Scotland", "37167": "Stanly", "37169": "Stokes",
+    "37171": "Surry", "37173": "Swain", "37175": "Transylvania", "37177": "Tyrrell", "37179": "Union",
+    "37181": "Vance", "37183": "Wake", "37185": "Warren", "37187": "Washington", "37189": "Watauga",
+    "37191": "Wayne", "37193": "Wilkes", "37195": "Wilson", "37197": "Yadkin", "37199": "Yancey",
+}

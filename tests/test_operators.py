@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyscreen.functions import geo, sky
 from skyscreen.operators import catalog, horizon, locations, quality, raster, rollup, work
 from skyscreen.plans.fixtures import Fixtures
-from skyscreen.plans.queries import QUERIES
+from skyscreen.plans.queries import QUERIES, _every_pixel
 from skyscreen.sources import geotiff, tables
 from skyscreen.specs import AOI, COUNTY_NAMES, SkySpec
 
@@ -99,7 +99,7 @@ def test_whole_queries_equal_brute_force(spark):
     got = {tuple(map(int, r["location_id"].split("_")[1:])): (r["obstruction_pct"], r["sampled_fraction"]) for r in QUERIES["horizon_every_pixel"](spark, sf).collect()}
     want = {k[:3]: v for k, v in spots.items() if k[3] == 0}
     assert got.keys() == want.keys() and all(abs(got[k][0] - want[k][0]) < 0.0101 and abs(got[k][1] - want[k][1]) < 1.01e-4 for k in want)
-    found = [r for r in QUERIES["clear_spots"](spark, sf).collect() if r["rank"] == 1]
+    found = [r for r in horizon.find_spots(*_every_pixel(Fixtures(spark, sf)), spec, grid_m=10.0).collect() if r["rank"] == 1]
     assert {tuple(map(int, r["location_id"].split("_")[1:])) for r in found} == want.keys()
     for r in found:
         t, row, col = map(int, r["location_id"].split("_")[1:])
