@@ -370,13 +370,14 @@ def horizon_every_pixel(x: Fixtures) -> DataFrame:
     return horizon.score(*_every_pixel(x), SkySpec()).select("location_id", "obstruction_pct", "risk_tier", "confidence", "clearance_margin_m", "sampled_fraction", "max_horizon_deg")
 
 
-def _widened(packed: DataFrame, times: int) -> DataFrame:
-    """Packed surfaces with every pixel repeated ``times`` by ``times``: tiles of the size that production has."""
+def _widened(packed: DataFrame, times: int, lift: float) -> DataFrame:
+    """Packed surfaces with every pixel repeated ``times`` by ``times`` and heights multiplied by ``lift``: tiles of the size that
+    production has, steep enough to block some sky."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                wide = {n: np.frombuffer(r[n], t).reshape(r["height"], r["width"]).repeat(times, 0).repeat(times, 1).tobytes() for n, t in (("elevation", np.float32), ("provenance", np.int8))}
+                wide = {n: (np.frombuffer(r[n], t).reshape(r["height"], r["width"]).repeat(times, 0).repeat(times, 1) * t(up)).tobytes() for n, t, up in (("elevation", np.float32, lift), ("provenance", np.int8, 1))}
                 yield pa.RecordBatch.from_pylist([r | wide | {"height": r["height"] * times, "width": r["width"] * times}], schema=b.schema)
 
     return packed.mapInArrow(run, packed.schema)
@@ -387,7 +388,7 @@ def horizon_full_tile(x: Fixtures) -> DataFrame:
     """The operator on tiles of 600 by 600 pixels: 100 observers a tile, and all 27,000 samples of each look at data."""
     points, packed = _every_pixel(x)
     points = points.withColumn("x", (F.col("x") - 5.0) * 60 + 305.0).withColumn("y", (F.col("y") + 5.0) * 60 - 305.0)
-    return horizon.score(points, _widened(packed, 60), SkySpec()).select("location_id", "obstruction_pct", "risk_tier", "confidence", "clearance_margin_m", "sampled_fraction", "max_horizon_deg")
+    return horizon.score(points, _widened(packed, 60, 12.0), SkySpec()).select("location_id", "obstruction_pct", "risk_tier", "confidence", "clearance_margin_m", "sampled_fraction", "max_horizon_deg")
 
 
 @query()

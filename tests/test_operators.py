@@ -107,6 +107,17 @@ def test_whole_queries_equal_brute_force(spark):
         assert r["n_candidates"] == len(near) and r["obstruction_pct"] == pytest.approx(min(near), abs=0.0101)
 
 
+def test_full_tiles_equal_brute_force(spark):
+    sf, spec, tiles = "/root/testdata/sf0.001", SkySpec(), {}
+    for r in raster.surface_pixels(Fixtures(spark, sf).layers).collect():
+        tiles.setdefault(r["tile_id"], np.full((10, 10), np.nan))[r["row_idx"], r["col_idx"]] = np.nan if r["elevation"] is None else r["elevation"]
+    wide = {t: 12 * z.repeat(60, 0).repeat(60, 1) for t, z in tiles.items()}
+    got = {tuple(map(int, r["location_id"].split("_")[1:])): (r["obstruction_pct"], r["sampled_fraction"]) for r in QUERIES["horizon_full_tile"](spark, sf).collect()}
+    want = {(t, r, c): plain_score(wide[t], c * 600.0 + 305, -r * 600.0 - 305, 0.0, spec) for t, z in tiles.items() for r in range(10) for c in range(10) if np.isfinite(z[r, c])}
+    assert got.keys() == want.keys() and all(abs(got[k][0] - want[k][0]) < 0.0101 and abs(got[k][1] - want[k][1]) < 1.01e-4 for k in want)
+    assert max(v[1] for v in want.values()) > 0.9 and len({v[0] for v in want.values()}) > 20
+
+
 def test_lowest_mount_of_the_whole_table(spark):
     sf, lines = "/root/testdata/sf0.001", {}
     for r in spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_partkey", "l_orderkey", "l_linenumber").collect():
