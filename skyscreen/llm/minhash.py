@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, give_back, scratch, spread, stored, text_chunks
+from .common import WORD, files_for, give_back, scratch, spread, stored, text_chunks
 from .components import connected_components
 
 #: Minima of a document and the bits kept of each: 128 * 2 bits fill four longs.
@@ -215,11 +215,11 @@ def _may_link(percent: int):
 
 
 def _settle(percent: int):
-    """For one pair of blocks: the links, compared on full sets, that join members of different labels; a forest of them."""
+    """For one pair of blocks: pairs of labels that links join, compared on full sets; a forest of them."""
 
     def run(group: pa.Table) -> pa.Table:
-        digests, block = group.column("digest").to_pylist(), np.array(group.column("block").to_pylist())
-        label = np.unique(np.array([x.hex() for x in group.column("label").to_pylist()]), return_inverse=True)[1]
+        names, label = np.unique(np.array([x.hex() for x in group.column("label").to_pylist()]), return_inverse=True)
+        block, first = np.array(group.column("block").to_pylist()), label.copy()
         column = group.column("shingles").combine_chunks()
         sizes = column.value_lengths().to_numpy().astype(np.int64)
         _, code, times = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
@@ -241,7 +241,7 @@ def _settle(percent: int):
             link = right[100 * common >= percent * (sizes[x] + sizes[right] - common)]
             for y in link[label[link] != label[x]].tolist():
                 if label[y] != label[x]:
-                    out.append((digests[x], digests[y]))
+                    out.append((bytes.fromhex(names[first[x]]), bytes.fromhex(names[first[y]])))
                     label[label == label[y]] = label[x]
         return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([x for _, x in out], pa.binary())})
 
@@ -261,47 +261,53 @@ def _classes(source: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFr
     sigs = stored(signatures(spread(source), k, bands, rows), "minhash-sigs")
     with scratch(source.sparkSession) as block:
         some = sigs.where("digest is not null")
+        files = files_for(sigs.count())
         rep = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "h")
         classes = some.groupBy("digest").agg(F.min(rep).alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
         classes = stored(classes, "minhash-classes")
         placed = classes.select("digest", "rep", "n", F.explode("bands").alias("bucket"))
         heads = placed.groupBy("bucket").agg(F.count("*").alias("members"), F.min(F.struct("rep", "digest")).alias("head")).where("members > 1")
-        heads = stored(heads, "minhash-heads")  # here and below: stored, so that the join can split a hot key
-        buckets = stored(placed.join(heads, "bucket").select("bucket", "digest", "n", "members", F.col("head.digest").alias("head")), "minhash-buckets")
+        heads = stored(heads, "minhash-heads", files)  # here and below: stored, so that the join can split a hot key
+        buckets = stored(placed.join(heads, "bucket").select("bucket", "digest", "n", "members", F.col("head.digest").alias("head")), "minhash-buckets", files)
         # stars: every member against the first of its bucket
         pairs = buckets.where("digest <> head").select(F.col("digest").alias("a"), F.col("head").alias("b")).distinct()
         sig = lambda c: classes.select(F.col("digest").alias(c), F.col("sig").alias(f"sig_{c}"))
-        near = stored(pairs.join(sig("a"), "a").join(sig("b"), "b").where(estimate(F.col("sig_a"), F.col("sig_b")) >= percent / 100 - MARGIN).select("a", "b"), "minhash-pairs")
+        near = stored(pairs.join(sig("a"), "a").join(sig("b"), "b").where(estimate(F.col("sig_a"), F.col("sig_b")) >= percent / 100 - MARGIN).select("a", "b"), "minhash-pairs", files)
         wanted = near.select(F.col("a").alias("digest")).unionByName(near.select(F.col("b").alias("digest"))).unionByName(buckets.where("members > 2").select("digest")).distinct()
         sets = stored(full_sets(source, classes.select("digest", "rep").join(wanted, "digest", "left_semi"), k), "minhash-sets")
         own = lambda c: sets.select(F.col("digest").alias(c), F.col("shingles").alias(f"set_{c}"))
         common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
         stars = near.join(own("a"), "a").join(own("b"), "b").withColumn("both", common).where(100 * F.col("both") >= percent * (F.size("set_a") + F.size("set_b") - F.col("both"))).select("a", "b")
-        stars = stored(stars, "minhash-stars")
-        comps = stored(connected_components(stars), "minhash-labels")
+        comps = connected_components(stars)
         members = buckets.where("members > 2").join(comps.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-        members = stored(members.select("bucket", "digest", "n", "members", "label"), "minhash-members")
+        members = stored(members.select("bucket", "digest", "n", "members", "label"), "minhash-members", files)
         same = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("who"), F.max("members").alias("members"))
         open_ = same.where("lo <> hi").groupBy("members", "who").agg(F.min("bucket").alias("bucket")).select("bucket")  # equal buckets once
-        open_ = stored(open_, "minhash-open")
+        open_ = stored(open_, "minhash-open", files)
         if not open_.isEmpty():
-            members = members.join(open_, "bucket", "left_semi")
-            by_sig = _in_blocks(members, F.ceil(F.col("members") / BLOCK_SIGNATURES)).join(classes.select("digest", "sig"), "digest")
-            may = by_sig.select("bucket", "lo", "hi", "digest", "label", "block", "sig").groupBy("bucket", "lo", "hi").applyInArrow(_may_link(percent), "bucket long, digest binary")
-            may = stored(members.join(may.distinct(), ["bucket", "digest"], "left_semi").select("bucket", "digest", "n", "label"), "minhash-may")
-            sizes = stored(may.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("n").alias("weight")), "minhash-sizes")
-            blocks = F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("weight") / BLOCK_SHINGLES))
-            by_set = _in_blocks(may.join(sizes, "bucket"), blocks).join(sets, "digest")
-            settled = by_set.select("bucket", "lo", "hi", "digest", "label", "block", "shingles").groupBy("bucket", "lo", "hi").applyInArrow(_settle(percent), "a binary, b binary")
-            comps = connected_components(stars.unionByName(stored(settled, "minhash-settled")))
-        least = stored(comps.join(classes.select(F.col("digest").alias("node"), "rep"), "node"), "minhash-reps")
-        top = stored(least.groupBy("label").agg(F.min("rep").alias("component")), "minhash-tops")
+            comps = _join_labels(comps, members.join(open_, "bucket", "left_semi"), classes, sets, percent, files)
+        least = stored(comps.join(classes.select(F.col("digest").alias("node"), "rep"), "node"), "minhash-reps", files)
+        top = stored(least.groupBy("label").agg(F.min("rep").alias("component")), "minhash-tops", files)
         joined = least.join(top, "label").select(F.col("node").alias("digest"), "component")
         whole = classes.select("digest", "rep").join(joined, "digest", "left").select("digest", "rep", F.coalesce("component", "rep").alias("component"))
-        whole = block.keep(stored(whole, "minhash-components"))
+        whole = block.keep(stored(whole, "minhash-components", files))
     return sigs, whole
 
 
+def _join_labels(comps: DataFrame, members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, files: int) -> DataFrame:
+    """``comps`` (node, label) with the labels joined that links within open buckets join; ``members`` are those buckets'."""
+    by_sig = _in_blocks(members, F.ceil(F.col("members") / BLOCK_SIGNATURES)).join(classes.select("digest", "sig"), "digest")
+    may = by_sig.select("bucket", "lo", "hi", "digest", "label", "block", "sig").groupBy("bucket", "lo", "hi").applyInArrow(_may_link(percent), "bucket long, digest binary")
+    may = stored(members.join(may.distinct(), ["bucket", "digest"], "left_semi").select("bucket", "digest", "n", "label"), "minhash-may", files)
+    sizes = stored(may.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("n").alias("weight")), "minhash-sizes", files)
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("weight") / BLOCK_SHINGLES))
+    by_set = _in_blocks(may.join(sizes, "bucket"), blocks).join(sets, "digest")
+    links = by_set.select("bucket", "lo", "hi", "label", "block", "shingles").groupBy("bucket", "lo", "hi").applyInArrow(_settle(percent), "a binary, b binary")
+    joined = stored(connected_components(links).select(F.col("node").alias("label"), F.col("label").alias("to")), "minhash-joined", files)
+    moved = comps.join(joined, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return moved.unionByName(joined.select(F.col("label").alias("node"), F.col("to").alias("label"))).distinct()  # labels that were alone are nodes too
+
+
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
