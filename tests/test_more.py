@@ -49,6 +49,35 @@ def test_spots_score_the_site_itself_and_keep_any_name(spark):
     assert got[0]["obstruction_pct"] < own
 
 
+def test_spots_are_those_of_all_candidates_scored_as_points(spark):
+    """Sites on and off the grid, of a name in two tiles, off the surface, without a tile; shares of three sites."""
+    rng = np.random.default_rng(5)
+    z = (100 + 40 * rng.random((21, 21))).astype(np.float32)
+    z[rng.random(z.shape) < 0.1] = np.nan
+    grids = [(t, 21, 21, x0, 3900000.0, 10.0, 32617, (z + k).tobytes(), np.full((21, 21), 3, np.int8).tobytes()) for k, (t, x0) in enumerate((("t", 500000.0), ("u", 500300.0)))]
+    surfaces = spark.createDataFrame([*grids, ("bad", 21, 21, 500000.0, 3900000.0, 10.0, 32617, b"123", b"")], GRID)
+    sites = [(f"s{i}", "t", 500005.0 + 10 * i, 3899955.0 - 5 * i) for i in range(8)] + [("s1", "u", 500411.3, 3899907.7), ("s2", "none", 1.0, 1.0), ("s3", None, 500105.0, 3899895.0), ("far", "t", 1.0, 1.0), ("s4", "bad", 500105.0, 3899895.0), (None, "u", 500400.0, 3899900.0), ("edge", "t", 499985.0, 3899950.0)]
+    sites = spark.createDataFrame(sites, "location_id string, tile_id string, x double, y double")
+    spec = SkySpec(azimuth_step_deg=15.0, max_radius_m=120.0, az_weighting="uniform", az_halfwidth_deg=180.0)
+    tried = horizon.candidates(sites, 30.0, 7.0, spec.mount_heights_m).withColumn("own", F.lit(0)).unionByName(sites.selectExpr("*", "0D as dx", "0D as dy", "0D as dish_height_m", "1 as own")).collect()
+    points = spark.createDataFrame([(str(i), r["tile_id"], r["x"] + r["dx"], r["y"] + r["dy"], float(r["dish_height_m"])) for i, r in enumerate(tried)], "location_id string, tile_id string, x double, y double, dish_height_m double")
+    scored, want = {int(r["location_id"]): r for r in horizon.score(points, surfaces, spec).collect()}, {}
+    for name in {r["location_id"] for r in tried}:
+        mine = [(scored[i], r) for i, r in enumerate(tried) if r["location_id"] == name and scored[i]["obstruction_pct"] is not None]
+        own = max((s["obstruction_pct"] for s, r in mine if r["own"]), default=None)
+        ranked = sorted((s["obstruction_pct"], r["dish_height_m"], r["dx"], r["dy"], s["tile_id"], s["risk_tier"], s["confidence"]) for s, r in mine if not r["own"])
+        want |= {(name, k): (*row, own, len(ranked)) for k, row in enumerate(ranked[:10], 1)}
+    old, horizon.SITES_PER_GROUP = horizon.SITES_PER_GROUP, 3
+    try:
+        found = horizon.find_spots(sites, surfaces, spec, 30.0, 7.0)
+    finally:
+        horizon.SITES_PER_GROUP = old
+    got = {(r["location_id"], r["rank"]): (r["obstruction_pct"], r["dish_height_m"], r["dx"], r["dy"], r["tile_id"], r["risk_tier"], r["confidence"], r["baseline_pct"], r["n_candidates"]) for r in found.collect()}
+    assert got == want and {"s1", "s7", None, "edge"} <= {k for k, _ in got} and not {"far"} & {k for k, _ in got}
+    # candidates are made and ranked where the surface is, they are no rows: the one table that is multiplied is that of shares
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate ") == 1
+
+
 def test_points_without_a_tile_are_undetermined(spark):
     points = spark.createDataFrame([("a", "t", 500105.0, 3899895.0), ("b", None, 1.0, 1.0), ("c", "none", 1.0, 1.0)], "location_id string, tile_id string, x double, y double")
     got = {r["location_id"]: r["risk_tier"] for r in horizon.score(points, flat(spark), SkySpec(azimuth_step_deg=30.0, max_radius_m=100.0)).collect()}
