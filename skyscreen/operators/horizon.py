@@ -57,6 +57,10 @@ class Surface:
     def at(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return warp_bilinear(self.elevation, (self.y0 - y) / self.gsd - 0.5, (x - self.x0) / self.gsd - 0.5)
 
+    def phase(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in its pixel each place lies, to a billionth."""
+        return tuple(np.round(v - np.floor(v), 9) for v in ((self.y0 - y) / self.gsd, (x - self.x0) / self.gsd))
+
     def provenance_at(self, x: float, y: float) -> str | None:
         r, c = int(np.rint((self.y0 - y) / self.gsd - 0.5)), int(np.rint((x - self.x0) / self.gsd - 0.5))
         if self.provenance is None or not (0 <= r < self.provenance.shape[0] and 0 <= c < self.provenance.shape[1]):
@@ -70,18 +74,23 @@ class _Looks:
 
     def __init__(self, surface: Surface, spec: SkySpec):
         self.surface, self.spec = surface, spec
-        self.height, self.width = surface.elevation.shape
-        self.stride = self.width + 4
-        known = np.pad(np.isfinite(surface.elevation), 2).astype(np.uint8)
-        self.elevation = np.where(known, np.pad(surface.elevation, 2), np.nan).astype(np.float64).ravel()
-        corners = known[:-1, :-1] + known[:-1, 1:] + known[1:, :-1] + known[1:, 1:]
-        self.corners = np.pad(corners, ((0, 1), (0, 1))).ravel()
         self.azimuth, step = bearings(spec.azimuth_step_deg), max(1.0, surface.gsd)
         self.radius = np.arange(step, spec.max_radius_m + step * 1e-9, step)
         self.n, self.n_near = (len(self.azimuth) * k for k in (len(self.radius), int((self.radius <= spec.confidence_near_field_m).sum())))
         self.east, self.north = (self.radius[:, None] * f(np.radians(self.azimuth)) for f in (np.sin, np.cos))
         self.level = (self.radius * np.tan(np.radians(max(1e-3, spec.min_elevation_deg))))[:, None]
         self.drop = (self.radius**2 * ((1 - REFRACTION) / (2 * EARTH_RADIUS_M)))[:, None]
+        height, width = surface.elevation.shape
+        # as far as a place on the surface looks at most, so that a look never leaves what is laid out
+        self.pad = int(min(spec.max_radius_m / surface.gsd, np.hypot(height, width) + 8)) + 4
+        self.height, self.width, self.stride = height, width, width + 2 * self.pad
+        inner = slice(self.pad, self.pad + height), slice(self.pad, self.pad + width)
+        self.elevation, known = np.full((height + 2 * self.pad, self.stride), np.nan), np.zeros((height + 2 * self.pad, self.stride), np.uint8)
+        known[inner] = np.isfinite(surface.elevation)
+        self.elevation[inner] = np.where(known[inner], surface.elevation, np.nan)
+        self.elevation, self.corners = self.elevation.ravel(), np.zeros_like(known)
+        self.corners[:-1, :-1] = known[:-1, :-1] + known[:-1, 1:] + known[1:, :-1] + known[1:, 1:]
+        self.corners = self.corners.ravel()
 
     def held(self, x: np.ndarray, y: np.ndarray) -> int:
         """Radii to look at: samples beyond the farthest corner have no data, they count as samples and need no look."""
@@ -89,55 +98,112 @@ class _Looks:
         reach = np.fmax.reduce(np.hypot(np.fmax(np.abs(x - s.x0), np.abs(s.x0 + self.width * s.gsd - x)), np.fmax(np.abs(s.y0 - y), np.abs(y - s.y0 + self.height * s.gsd)))) + 2 * s.gsd
         return max(1, int((self.radius <= reach).sum()))
 
-    def batches(self, x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int]]:
-        size = max(1, SAMPLES_AT_ONCE // (self.held(x, y) * len(self.azimuth))) if len(x) else 1
-        return ((a, min(a + size, len(x))) for a in range(0, len(x), size))
+    def batches(self, x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(first, last, ground between them). Places that follow each other and lie alike in their pixels share one pattern of looks."""
+        if not len(x):
+            return
+        size = max(1, SAMPLES_AT_ONCE // (self.held(x, y) * len(self.azimuth)))
+        phases = np.stack(self.surface.phase(x, y))
+        starts = np.flatnonzero(np.append(True, (phases[:, 1:] != phases[:, :-1]).any(0)))
+        runs = [(a, b) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(x)], strict=True) if b - a >= 4]
+        done = 0
+        for start, end in [*runs, (len(x), len(x))]:
+            for a in range(done, start, size):
+                b = min(a + size, start)
+                yield a, b, self.ground(x[a:b], y[a:b])
+            if end > start:
+                pattern = self.pattern(x[start:end], y[start:end])
+            for a in range(start, end, size):
+                b = min(a + size, end)
+                yield a, b, self.ground_alike(x[a:b], y[a:b], *pattern)
+            done = end
+
+    def positions(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(index of the upper left of the four pixels under a look, distances from its row and column)."""
+        s = self.surface
+        row, col = (s.y0 - y) / s.gsd, (x - s.x0) / s.gsd
+        row -= 0.5
+        col -= 0.5
+        top, left = np.floor(row), np.floor(col)
+        row -= top
+        col -= left
+        for v, most in ((top, self.height), (left, self.width)):
+            if not (v.min() >= -self.pad and v.max() <= most + self.pad - 2):  # looks from places off the surface
+                np.fmin(v, most, out=v)
+                np.maximum(v, -2, out=v)
+        top *= self.stride
+        top += left
+        top += self.pad * (self.stride + 1)
+        return top.astype(np.intp), row, col
+
+    def blend(self, at: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+        """What four pixels that have data say between them."""
+        a, b, c, d = (self.elevation[k:].take(at) for k in (0, 1, self.stride, self.stride + 1))
+        for p, q in ((a, b), (c, d)):
+            q -= p
+            q *= col
+            p += q
+        c -= a
+        c *= row
+        a += c
+        return a
+
+    def look(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Elevation at positions, as :meth:`Surface.at` has it; -inf where there is none."""
+        at, row, col = self.positions(x, y)
+        corners = self.corners.take(at)
+        if not len(at) or corners.min() == 4:
+            return self.blend(at, row, col)
+        got, seen = np.full(len(at), -np.inf), np.flatnonzero(corners == 4)
+        got[seen] = self.blend(at[seen], row[seen], col[seen])
+        part = np.flatnonzero((corners > 0) & (corners < 4))
+        at, fr, fc, total, weight = at[part], row[part], col[part], np.zeros(len(part)), np.zeros(len(part))
+        for k, w in ((0, (1 - fr) * (1 - fc)), (1, (1 - fr) * fc), (self.stride, fr * (1 - fc)), (self.stride + 1, fr * fc)):
+            value = self.elevation[k:].take(at)
+            w = np.where(np.isfinite(value), w, 0.0)
+            total += np.where(w > 0, value, 0.0) * w
+            weight += w
+        got[part] = np.where(weight > 0, total / np.where(weight > 0, weight, 1.0), -np.inf)
+        return got
 
     def ground(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Elevation by point, radius and bearing, as :meth:`Surface.at` has it; -inf where there is none."""
+        """Elevation by point, radius and bearing; -inf where there is none."""
+        held = self.held(x, y)
+        east, north = x[:, None, None] + self.east[:held], y[:, None, None] + self.north[:held]
+        got = self.look(east.ravel(), north.ravel()).reshape(east.shape)
+        return got - self.drop[:held] if self.spec.earth_curvature else got
+
+    def pattern(self, x: np.ndarray, y: np.ndarray) -> tuple:
+        """The looks of the first of places that lie alike in their pixels: position of the place, and of its looks, and which of
+        these are so close to a row or column of pixels that rounding decides on which side they are."""
+        held = self.held(x, y)
+        at, row, col = self.positions((x[0] + self.east[:held]).ravel(), (y[0] + self.north[:held]).ravel())
+        return x[0], y[0], at, row, col, (np.abs(row - np.rint(row)) < 1e-6) | (np.abs(col - np.rint(col)) < 1e-6)
+
+    def ground_alike(self, x: np.ndarray, y: np.ndarray, x1: float, y1: float, at: np.ndarray, row: np.ndarray, col: np.ndarray, close: np.ndarray) -> np.ndarray:
+        """:meth:`ground` of places on the surface by a pattern; looks that lack some pixels are taken for themselves."""
         s, held = self.surface, self.held(x, y)
-        col, row = x[:, None, None] + self.east[:held], y[:, None, None] + self.north[:held]
-        shape = col.shape
-        col -= s.x0
-        np.subtract(s.y0, row, out=row)
-        for v in (col, row):
-            v /= s.gsd
-            v -= 0.5
-        left, top = np.floor(col), np.floor(row)
-        for v, most in ((left, self.width), (top, self.height)):
-            np.fmin(v, most, out=v)
-            np.maximum(v, -2, out=v)
-        at = ((top + 2) * self.stride + (left + 2)).astype(np.intp).ravel()
-        col, row = (col - left).ravel(), (row - top).ravel()
+        n, shape = held * len(self.azimuth), (len(x), held, len(self.azimuth))
+        row, col, close = row[:n], col[:n], close[:n]
+        shift = np.rint((y1 - y) / s.gsd).astype(np.intp) * self.stride + np.rint((x - x1) / s.gsd).astype(np.intp)
+        at = at[:n] + shift[:, None]
         corners = self.corners.take(at)
-        whole = corners.min() == 4
-        seen = None if whole else np.flatnonzero(corners > 0)
-        if not whole:
-            at, col, row, corners = at[seen], col[seen], row[seen], corners[seen]
-        z = [self.elevation[k:].take(at) for k in (0, 1, self.stride, self.stride + 1)]
-        for k in (0, 2):
-            z[k + 1] -= z[k]
-            z[k + 1] *= col
-            z[k] += z[k + 1]
-        got = z[0]
-        z[2] -= got
-        z[2] *= row
-        got += z[2]
-        if not whole and len(part := np.flatnonzero(corners < 4)):
-            fr, fc, total, weight = row[part], col[part], np.zeros(len(part)), np.zeros(len(part))
-            for k, w in ((0, (1 - fr) * (1 - fc)), (1, (1 - fr) * fc), (self.stride, fr * (1 - fc)), (self.stride + 1, fr * fc)):
-                value = self.elevation[k:].take(at[part])
-                w = np.where(np.isfinite(value), w, 0.0)
-                total += np.where(w > 0, value, 0.0) * w
-                weight += w
-            got[part] = np.where(weight > 0, total / np.where(weight > 0, weight, 1.0), -np.inf)
-        if not whole:
-            got, few = np.full(np.prod(shape), -np.inf), got
-            got[seen] = few
+        if corners.min() == 4:
+            got = self.blend(at, row, col)
+        else:
+            full = corners == 4
+            if np.count_nonzero(full) > 0.4 * full.size:
+                got = self.blend(at, row, col)
+                np.copyto(got, -np.inf, where=~full)
+            else:
+                got, seen = np.full(full.size, -np.inf), np.flatnonzero(full)
+                of = seen % n
+                got[seen] = self.blend(at.ravel()[seen], row[of], col[of])
+            got, odd = got.ravel(), np.flatnonzero(~full & ((corners > 0) | close))
+            place, of = odd // n, odd % n
+            got[odd] = self.look(x[place] + self.east.ravel()[of], y[place] + self.north.ravel()[of])
         got = got.reshape(shape)
-        if self.spec.earth_curvature:
-            got -= self.drop[:held]
-        return got
+        return got - self.drop[:held] if self.spec.earth_curvature else got
 
     def shares(self, ground: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """By point, the share of all samples that have data, and of those nearby."""
@@ -203,8 +269,7 @@ def _measured(surface: Surface, x: np.ndarray, y: np.ndarray, at: np.ndarray, mo
     w, span = weights(looks.azimuth, spec), max(1e-9, 90.0 - spec.min_elevation_deg)
     cone, total, names = w > 0, w.sum(), np.array([round(float(a), 1) for a in looks.azimuth])
     ground, (sampled, near), (pct, clearance, most, mean), blocked = surface.at(x, y), np.zeros((2, len(x))), np.zeros((4, n)), []
-    for a, b in looks.batches(x, y):
-        g = looks.ground(x[a:b], y[a:b])
+    for a, b, g in looks.batches(x, y):
         sampled[a:b], near[a:b] = looks.shares(g)
         room = looks.room(g)[:, cone].min(1, initial=np.inf)
         first, last = np.searchsorted(at, (a, b))
@@ -232,9 +297,9 @@ def score_block(surface: Surface, x: np.ndarray, y: np.ndarray, mount: np.ndarra
     Points at one place and height are scored once, and points at one place share what is seen from there.
     """
     on = np.flatnonzero(np.isfinite(surface.at(x, y)))
-    one, kind = _distinct(x[on], y[on], mount[on])
+    one, kind = _distinct(*surface.phase(x[on], y[on]), x[on], y[on], mount[on])
     x, y, heights = x[on][one], y[on][one], mount[on][one]
-    place, at = _distinct(x, y)
+    place, at = _distinct(*surface.phase(x, y), x, y)
     x, y = x[place], y[place]
     m = _measured(surface, x, y, at, heights, spec)
     provenance = [surface.provenance_at(*p) for p in zip(x.tolist(), y.tolist(), strict=True)]
@@ -367,7 +432,7 @@ def spots_block(surface: Surface, x: np.ndarray, y: np.ndarray, spec: SkySpec, b
     px, py = (x[:, None] + dx).ravel(), (y[:, None] + dy).ravel()
     row, col = (surface.y0 - py) / surface.gsd, (px - surface.x0) / surface.gsd
     on = np.flatnonzero((row > -1) & (row < surface.elevation.shape[0] + 1) & (col > -1) & (col < surface.elevation.shape[1] + 1))
-    one, kind = _distinct(px[on], py[on])
+    one, kind = _distinct(*surface.phase(px[on], py[on]), px[on], py[on])
     one = on[one]
     known = np.isfinite(surface.at(px[one], py[one]))
     ux, uy, m, h = px[one][known], py[one][known], int(known.sum()), len(heights)

@@ -380,7 +380,8 @@ def _widened(packed: DataFrame, times: int, lift: float) -> DataFrame:
                 wide = {n: (np.frombuffer(r[n], t).reshape(r["height"], r["width"]).repeat(times, 0).repeat(times, 1) * t(up)).tobytes() for n, t, up in (("elevation", np.float32, lift), ("provenance", np.int8, 1))}
                 yield pa.RecordBatch.from_pylist([r | wide | {"height": r["height"] * times, "width": r["width"] * times}], schema=b.schema)
 
-    return packed.mapInArrow(run, packed.schema)
+    # few bytes become many: as packed, they would be merged into few partitions
+    return packed.repartition(16 * packed.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, packed.schema)
 
 
 @query()

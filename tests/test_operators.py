@@ -118,6 +118,35 @@ def test_full_tiles_equal_brute_force(spark):
     assert max(v[1] for v in want.values()) > 0.9 and len({v[0] for v in want.values()}) > 20
 
 
+def test_shared_looks_are_those_of_single_points():
+    rng, size, spec = np.random.default_rng(3), 40, SkySpec(max_radius_m=300.0, azimuth_step_deg=5.0, earth_curvature=True)
+    lattice = [(5.0 + 20 * i, -5.0 - 20 * j) for i in range(20) for j in range(20)] + [(30.0 * i, -30.0 * j) for i in range(14) for j in range(14)]
+    x, y = np.array(lattice + [tuple(v) for v in rng.random((30, 2)) * (400, -400)]).T
+    for share, x0 in ((0.0, 0.0), (0.1, 0.0), (0.6, 500000.3)):
+        z = (100 + 50 * rng.random((size, size))).astype(np.float32)
+        z[rng.random(z.shape) < share] = np.nan
+        s = horizon.Surface(z, None, x0, 0.0, 10.0)
+        looks, done = horizon._Looks(s, spec), []
+        px, py = x[np.isfinite(s.at(x + x0, y))] + x0, y[np.isfinite(s.at(x + x0, y))]
+        order = np.lexsort((py, px, *s.phase(px, py)))
+        px, py, alike = px[order], py[order], []
+        keep, looks.ground_alike = looks.ground_alike, lambda *a: alike.append(len(a[0])) or keep(*a)
+        for a, b, g in looks.batches(px, py):
+            e, n = px[a:b, None, None] + looks.east[: g.shape[1]], py[a:b, None, None] + looks.north[: g.shape[1]]
+            want = s.at(e, n) - looks.drop[: g.shape[1]]
+            assert np.array_equal(np.isfinite(want), g > -np.inf) and np.nanmax(np.abs(np.where(np.isfinite(want), g - want, 0.0))) < 1e-6
+            assert not np.isfinite(s.at(px[a:b, None, None] + looks.east[g.shape[1] :], py[a:b, None, None] + looks.north[g.shape[1] :])).any()
+            done += range(a, b)
+        assert done == list(range(len(px))) and sum(alike) > 0.8 * len(px)
+
+
+def test_tiles_are_scored_on_all_cores(spark):
+    surfaces = spark.range(40).selectExpr("concat('t', id) as tile_id", "4 as height", "4 as width", "0D as x0", "0D as y0", "10D as gsd_m").withColumn("elevation", F.lit(np.ones(16, np.float32).tobytes())).withColumn("provenance", F.lit(np.ones(16, np.int8).tobytes()))
+    points = spark.range(400).selectExpr("concat('p', id) as location_id", "concat('t', id % 40) as tile_id", "15D as x", "-15D as y", "0D as dish_height_m")
+    got = horizon.score(points, surfaces, SkySpec(azimuth_step_deg=30.0)).select("location_id", F.spark_partition_id().alias("k")).collect()
+    assert len(got) == 400 and len({r["k"] for r in got}) >= 16
+
+
 def test_lowest_mount_of_the_whole_table(spark):
     sf, lines = "/root/testdata/sf0.001", {}
     for r in spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_partkey", "l_orderkey", "l_linenumber").collect():
