@@ -29,9 +29,17 @@ from .common import spread
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace
 _BLOCKS = frozenset("address article aside blockquote br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul title option".split())
 _SILENT = frozenset("script style noscript template svg head".split())
+_LINKS = frozenset(("a", "area"))
 #: Bytes of records and texts that a worker hands over at once.
 BATCH_BYTES = 2 << 20
-_SPACES = re.compile(r"[^\S\n]+")
+_TAG_SPACE, _ATTR_NAME = r"[ \t\n\r\f]", r"[a-zA-Z][-a-zA-Z0-9_:.]*+"
+#: The text before a tag, and the tag if it is plain: letters and digits in its name, attributes that are bare or have a value in
+#: quotes or without odd characters, no slash at the end. The standard library's parser reads these alike.
+_PLAIN = re.compile(rf"""([^<]*+)<(?:/([a-zA-Z][a-zA-Z0-9]*+)|([a-zA-Z][a-zA-Z0-9]*+)((?:{_TAG_SPACE}++{_ATTR_NAME}(?:=(?:"[^"]*+"|'[^']*+'|[^\s"'<>=`]++))?+)*+)){_TAG_SPACE}*+>""")
+_ATTRIBUTES = re.compile(rf"""{_TAG_SPACE}++({_ATTR_NAME})(?:=(?:"([^"]*+)"|'([^']*+)'|([^\s"'<>=`]++)))?+""")
+_CDATA_ENDS = {x: re.compile(rf"</\s*{x}\s*>", re.I | re.A) for x in HTMLParser.CDATA_CONTENT_ELEMENTS}
+#: A link from the root whose segments are neither dots nor empty, without parameters, query or fragment.
+_ROOTED = re.compile(r"(?:/(?!\.{1,2}(?:/|\Z))[^\x00-\x20/?#;]++)++")
 
 
 def digest(data: bytes) -> str:
@@ -78,18 +86,74 @@ def parse_records(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
 def response_record(key: str, url: str, payload: bytes, date: str, http_headers: list[tuple[str, str]]) -> bytes:
     head = "HTTP/1.1 200 OK\r\n" + "".join(f"{k}: {v}\r\n" for k, v in [*http_headers, ("Content-Length", str(len(payload)))]) + "\r\n"
     block = head.encode() + payload
-    headers = [("WARC-Type", "response"), ("WARC-Record-ID", record_id("response", key, url, digest(payload))), ("WARC-Date", date), ("WARC-Target-URI", url)]
-    return build_record([*headers, ("WARC-Payload-Digest", digest(payload)), ("WARC-Block-Digest", digest(block)), ("Content-Type", "application/http; msgtype=response")], block)
+    own = digest(payload)
+    headers = [("WARC-Type", "response"), ("WARC-Record-ID", record_id("response", key, url, own)), ("WARC-Date", date), ("WARC-Target-URI", url)]
+    return build_record([*headers, ("WARC-Payload-Digest", own), ("WARC-Block-Digest", digest(block)), ("Content-Type", "application/http; msgtype=response")], block)
 
 
 class _Page(HTMLParser):
     """Collects text, title and links. What stands in a silent element is dropped when that ends, or when the body begins;
-    an element that never ends silences nothing, scripts and styles apart."""
+    an element that never ends silences nothing, scripts and styles apart.
+
+    ``feed`` takes a whole page, once. Plain tags are read here, one match each; the parser's own methods read all else.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.parts, self.links, self.title, self.open, self.in_title = [], [], [], [], False
 
+    def feed(self, data):
+        self.rawdata, i, unescape = data, 0, entities.unescape
+        while True:
+            if m := _PLAIN.match(data, i):
+                text, end, tag, attrs = m.groups()
+                if text:
+                    self.handle_data(unescape(text))
+                i = m.end()
+                if end:
+                    self.handle_endtag(end.lower())
+                    continue
+                tag = tag.lower()
+                self.handle_starttag(tag, [(k.lower(), unescape(a or b or c)) for k, a, b, c in _ATTRIBUTES.findall(attrs)] if attrs and tag in _LINKS else ())
+                if tag not in _CDATA_ENDS:
+                    continue
+            else:
+                start = data.find("<", i)
+                if text := data[i:] if start < 0 else data[i:start]:
+                    self.handle_data(unescape(text))
+                i = -1 if start < 0 else self._odd(data, start)
+                if i < 0:  # the end, or what isn't whole: the parser decides what becomes of the rest
+                    self.rawdata = ""
+                    return super().feed(data[start:]) if start >= 0 else None
+                if not (tag := self.cdata_elem):
+                    continue
+                self.clear_cdata_mode()
+            end = _CDATA_ENDS[tag].search(data, i)
+            if not end:
+                self.rawdata = ""
+                self.set_cdata_mode(tag)
+                return super().feed(data[i:])
+            self.handle_data(data[i : end.start()])
+            self.handle_endtag(tag)
+            i = end.end()
+
+    def _odd(self, data: str, i: int) -> int:
+        """Where the markup that begins at ``i`` ends, -1 if it doesn't: the same choice as the parser's own."""
+        if data[i + 1 : i + 2].isascii() and data[i + 1 : i + 2].isalpha():
+            return self.parse_starttag(i)
+        if data.startswith("</", i):
+            return self.parse_endtag(i)
+        if data.startswith("<!--", i):
+            return self.parse_comment(i)
+        if data.startswith("<?", i):
+            return self.parse_pi(i)
+        if data.startswith("<!", i):
+            return self.parse_html_declaration(i)
+        if i + 1 == len(data):
+            return -1
+        self.handle_data("<")
+        return i + 1
+
     def handle_starttag(self, tag, attrs):
         if tag == "body" and self.open:  # the head's end tag may be missing
             del self.parts[self.open[0][1] :]
@@ -100,7 +164,7 @@ class _Page(HTMLParser):
             self.in_title = True
         if tag in _BLOCKS:
             self.parts.append("\n")
-        if tag in ("a", "area") and (href := dict(attrs).get("href")):
+        if tag in _LINKS and (href := dict(attrs).get("href")):
             self.links.append(href)
 
     def handle_startendtag(self, tag, attrs):
@@ -108,7 +172,7 @@ class _Page(HTMLParser):
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        at = max((i for i, (name, _) in enumerate(self.open) if name == tag), default=None)
+        at = max((i for i, (name, _) in enumerate(self.open) if name == tag), default=None) if self.open else None
         if at is not None:
             del self.parts[self.open[at][1] :]
             del self.open[at:]
@@ -137,14 +201,25 @@ def page_text(html: str, url: str = "") -> tuple[str, str, list[str]]:
         raw = "".join(page.parts)
     except (AssertionError, ValueError):  # markup that the parser gives up on
         raw = entities.unescape(re.sub(r"<[^>]*>", " ", html))
-    lines = (_SPACES.sub(" ", x).strip() for x in raw.split("\n"))
-    links = []
-    for x in page.links:
+    lines = (" ".join(x.split()) for x in raw.split("\n") if x)
+    return "\n".join(x for x in lines if x), " ".join("".join(page.title).split()), _whole_links(url, page.links)
+
+
+def _whole_links(url: str, found: list[str]) -> list[str]:
+    """Distinct links as ``urljoin`` completes them; those that it can't read stay as they are."""
+    links, root = {}, None
+    for x in dict.fromkeys(x.strip() for x in found):
         try:
-            links.append(urljoin(url, x.strip()))
+            if _ROOTED.fullmatch(x):  # all that stands before such links is alike
+                if root is None:
+                    root = urljoin(url, "/")
+                x = root + x[1:]
+            else:
+                x = urljoin(url, x)
         except ValueError:
-            links.append(x.strip())
-    return "\n".join(x for x in lines if x), " ".join("".join(page.title).split()), list(dict.fromkeys(links))
+            pass
+        links[x] = None
+    return list(links)
 
 
 def _charset(http: list[tuple[str, str]]) -> str:
@@ -171,11 +246,11 @@ def derive(record: bytes) -> list[dict]:
         fields = [("source-status", status), *((f"source-header-{k.lower()}", v) for k, v in http), ("title", title), *(("outlink", x) for x in links)]
         meta = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in fields).encode("utf-8", "surrogatepass")
         for kind, body, mime in (("metadata", meta, "application/warc-fields"), ("conversion", text.encode("utf-8", "surrogatepass"), "text/plain; charset=UTF-8")):
-            own = record_id(kind, source, payload_digest)
+            own, block_digest = record_id(kind, source, payload_digest), digest(body)
             common = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Refers-To", source), ("WARC-Date", h.get("warc-date", "")), ("WARC-Target-URI", url)]
-            whole = build_record([*common, ("WARC-Source-Payload-Digest", payload_digest), ("WARC-Block-Digest", digest(body)), ("Content-Type", mime)], body)
+            whole = build_record([*common, ("WARC-Source-Payload-Digest", payload_digest), ("WARC-Block-Digest", block_digest), ("Content-Type", mime)], body)
             intact = h.get("warc-payload-digest", payload_digest) == payload_digest
-            out.append({"record_type": kind, "record_id": own, "refers_to": source, "target_uri": url, "date": h.get("warc-date", ""), "source_digest": payload_digest, "source_intact": intact, "block_digest": digest(body), "content_length": len(body), "n_links": len(links), "body": body.decode("utf-8", "replace"), "record": whole})
+            out.append({"record_type": kind, "record_id": own, "refers_to": source, "target_uri": url, "date": h.get("warc-date", ""), "source_digest": payload_digest, "source_intact": intact, "block_digest": block_digest, "content_length": len(body), "n_links": len(links), "body": body.decode("utf-8", "replace"), "record": whole})
     return out
 
 

@@ -5,6 +5,7 @@ import hashlib
 import html.parser
 import math
 import random
+import urllib.parse
 
 import numpy as np
 import pytest
@@ -266,6 +267,44 @@ def test_pages_against_a_plain_reader(spark):
             assert block.decode() == r["body"] and h["WARC-Refers-To"] == r["refers_to"] and h["WARC-Record-ID"] == r["record_id"] and h["WARC-Block-Digest"] == warc.digest(block)
 
 
+MARKUP = ["<", "</", ">", "/>", "<!--", "-->", "<!", "<!doctype html>", "<![CDATA[", "]]>", "<![foo[", "<?x", "&amp;", "&lt", "&#65", "&", "href", "=", '"', "'", " ", "\n", "\xa0", "\x0b", "\0", "<p>", "</p >", "<br/>", "<a href='/x'>", "<a href=/y/>", '<A HREF="z&amp;1" href>', '<a title=" href=n" href=m>', "<a href = k>", "</a>", "<h-1>", "<SCRIPT>", "</script >", "</\u017fcript>", "<style>", "</style>", "<title>", "</title>", "<head>", "</head>", "<body>", "<svg>", "</svg>", "word", "\xfc."]
+SEGMENTS = ["/", "/", "a", "b.", "..", ".", "\xfc", ":", "//h", ";x", "?y", "#z", " ", "\t", "[", "https://H.Org", "mailto:"]
+BASES = ["", "http://h.org", "http://h.org/a/b?c#d", "ftp://f/g", "mailto:me@x", "a/b", "//h/p", "file:///a/b", "http://[bad/a", "HTTP://Up/", "x-y://z/w"]
+
+
+def test_odd_markup_against_the_whole_parser(monkeypatch):
+    class Whole(warc._Page):
+        feed = html.parser.HTMLParser.feed
+
+    def joined(url, x):
+        try:
+            return urllib.parse.urljoin(url, x)
+        except ValueError:
+            return x
+
+    rng = random.Random(9)
+    for _ in range(4000):
+        page, url = "".join(rng.choices(MARKUP, k=rng.randint(1, 30))), rng.choice(BASES)
+        got = warc.page_text(page, url)
+        with monkeypatch.context() as m:
+            m.setattr(warc, "_Page", Whole)
+            assert got == warc.page_text(page, url), page
+        links = ["".join(rng.choices(SEGMENTS, k=rng.randint(1, 5))).strip() for _ in range(4)]
+        page = "".join(f'<a href="{x}">' for x in links)
+        assert warc.page_text(page, url)[2] == list(dict.fromkeys(joined(url, x) for x in links if x)), (url, links)
+
+
+def test_plain_tags_cost_one_match_each(monkeypatch):
+    """The standard parser's own steps, several matches a tag, are left to odd markup."""
+    steps = []
+    for name in ("parse_starttag", "parse_endtag"):
+        own = getattr(html.parser.HTMLParser, name)
+        monkeypatch.setattr(html.parser.HTMLParser, name, lambda self, i, name=name, own=own: steps.append(name) or own(self, i))
+    page = "<html lang='en'><head><meta charset=utf-8><title>T</title><script>a('</p>')</script></head><body>" + "<p class=\"x\">one <b>two</b><a href='/q'>three</a></p>" * 50 + "</body></html>"
+    assert warc.page_text(page, "http://a.org/") == ("\n".join(["one twothree"] * 50), "T", ["http://a.org/q"]) and not steps
+    assert warc.page_text("<p/>one<h-1>two</h-1>") == ("one" + "two", "", []) and steps
+
+
 # --- near and exact copies
 
 
